@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from touchline.llm import quality_rules
+from touchline.llm import language, mixing, quality_model, quality_rules
 
 QUERIES = {
+    "op2_language": language.query,
+    "op3_quality": quality_model.query,
+    "op7_mixing": mixing.query,
     "op10_quality_rules": quality_rules.query,
 }
 ORACLES = {
+    "op7_mixing": mixing.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
