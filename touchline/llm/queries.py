@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from touchline.llm import language, mixing, quality_model, quality_rules
+from touchline.llm import language, mixing, quality_model, quality_rules, topk, toxicity
 
 QUERIES = {
+    "op1_topk": topk.query,
     "op2_language": language.query,
     "op3_quality": quality_model.query,
+    "op5_toxicity": toxicity.query,
     "op7_mixing": mixing.query,
     "op10_quality_rules": quality_rules.query,
 }
 ORACLES = {
+    "op1_topk": topk.SQL,
     "op7_mixing": mixing.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
