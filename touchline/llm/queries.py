@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.llm import language, mixing, quality_model, quality_rules, topk, toxicity
+from touchline.llm import html_extract, language, mixing, quality_model, quality_rules, topk, toxicity
 
 QUERIES = {
     "op1_topk": topk.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality": quality_model.query,
     "op5_toxicity": toxicity.query,
     "op7_mixing": mixing.query,
+    "op8_html": html_extract.query,
     "op10_quality_rules": quality_rules.query,
 }
 ORACLES = {
