@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from touchline.llm import html_extract, language, mixing, quality_model, quality_rules, sentencepiece_scan, topk, toxicity
+from touchline.llm import html_extract, language, mixing, pii, quality_model, quality_rules, sentencepiece_scan, topk, toxicity
 
 QUERIES = {
     "op1_topk": topk.query,
     "op2_language": language.query,
     "op3_quality": quality_model.query,
+    "op4_pii": pii.query,
     "op5_toxicity": toxicity.query,
     "op6_sentencepiece": sentencepiece_scan.query,
     "op7_mixing": mixing.query,
