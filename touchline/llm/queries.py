@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.llm import html_extract, language, mixing, pii, quality_model, quality_rules, sentencepiece_scan, topk, toxicity
+from touchline.llm import html_extract, language, mixing, ngram_join, pii, quality_model, quality_rules, sentencepiece_scan, topk, toxicity
 
 QUERIES = {
     "op1_topk": topk.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_sentencepiece": sentencepiece_scan.query,
     "op7_mixing": mixing.query,
     "op8_html": html_extract.query,
+    "op9_jaccard": ngram_join.query,
     "op10_quality_rules": quality_rules.query,
 }
 ORACLES = {
