@@ -1,10 +1,15 @@
-"""The corpus pipeline: quality rules, near-duplicate removal, privacy, mixing and tokenisation over documents."""
+"""The corpus pipeline over documents: quality rules, near-duplicates, personal data, mixing, tokenisation.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+The texts of a stage's input are those that its predecessor kept or rewrote.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import quality_rules
+from touchline.llm import mixing, ngram_join, pii, quality_rules, sentencepiece_scan
+from touchline.llm.base import materialize
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,13 +17,42 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_documents(docs)
 
 
-STAGES = [("quality rules", rules_stage)]
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links by word shingles."""
+    return ngram_join.one_of_each(docs)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them."""
+    return mixing.mix_documents(docs)
+
+
+def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, lang, n_tokens and piece ids of each document."""
+    return sentencepiece_scan.encode_documents(docs, ["doc_id", "lang", "source"]).select("doc_id", "lang", "source", "n_tokens", "ids")
+
+
+STAGES = [
+    ("quality rules", rules_stage),
+    ("n-gram Jaccard join", near_duplicates_stage),
+    ("personal data", pii_stage),
+    ("mixing", mixing_stage),
+    ("SentencePiece", tokens_stage),
+]
+#: Bootstrapping and Viterbi paths are beyond SQL: tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over documents."""
+    """All stages in order over documents; each but the last is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialize(docs, f"stage{k}")
     return docs
