@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from touchline.queries import aggregates, audits, events, identity, joins, modeling, sources  # noqa: F401  they register themselves
+from touchline.queries.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
