@@ -10,9 +10,8 @@ similarity of PERCENT / 100 or more, so each holds all but a fifth of its shingl
    first node, linked nodes become one class, and lists within one class are done. In rare shingles' lists (up to
    RARE nodes) the pairs of different classes are verified if they can share enough of the prefix.
 3. A pair left over shares frequent shingles only, so its nodes have more of them than may be missing. Those nodes are
-   indexed again over their whole sets. Again a node with enough rare shingles is served by rare lists alone; the others
-   (nearly all of it frequent) are keyed by frequent shingles in combination with their prefix, contracted, and what is
-   left is verified pair by pair.
+   indexed again over their whole sets, contracted again, and the rest is joined by rare-first prefixes: shingles of one
+   class only come first, then the others by exact frequency, and only pairs that share one of the first fifth are verified.
 
 No step caps partners or candidates: every pair that could link is verified or is in one class already. Class ids come
 from min-label propagation with pointer jumping over verified links.
@@ -34,7 +33,8 @@ from pyspark.sql import functions as F
 from touchline.llm.base import map_batches, materialize, table
 from touchline.llm.kernels import mix, shingles, words
 
-WIDTH, PERCENT, RARE, STARS = 5, 80, 32, 4
+#: Links in one task's union-find.
+WIDTH, PERCENT, RARE, STARS, PART = 5, 80, 16, 2, 500_000
 
 
 def missing(n):
@@ -173,9 +173,41 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(g, c): of every node in links the least node of its component."""
-    edges = materialize(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+def _forest(edges: DataFrame, parts: int) -> DataFrame:
+    """(a, b): each part's edges become stars, its nodes pointing to the least node of their part's component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[p] if p in parent else p
+            return x
+
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = root(x), root(y)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+        nodes = list(parent)
+        for k in range(0, len(nodes), 100_000):
+            own = nodes[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([root(x) for x in own], pa.int64())], names=["a", "b"])
+
+    return edges.coalesce(parts).mapInArrow(run, "a long, b long")
+
+
+def components(links: DataFrame, count: int) -> DataFrame:
+    """(g, c): of every node in links (count rows, written) the least node of its component.
+
+    Parts of about PART links become stars by union-find. Where that is more than one part, their stars are merged by
+    min-label propagation with pointer jumping until nothing moves; each round is a few joins over the nodes in links.
+    """
+    parts = -(-count // PART)
+    stars = materialize(_forest(links.select("a", "b"), parts), "forest")
+    if parts <= 1:
+        return stars.select(F.col("a").alias("g"), F.col("b").alias("c"))
+    edges = materialize(stars.where("a <> b").union(stars.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     label = materialize(edges.groupBy(F.col("a").alias("g")).agg(F.least(F.min("b"), F.first("a")).alias("c")), "labels")
     while True:
         by_edge = edges.join(label.withColumnRenamed("g", "b"), "b").groupBy(F.col("a").alias("g")).agg(F.min("c").alias("m"))
@@ -192,7 +224,7 @@ class Classes:
     """The class of each node that is known to link, and the sets to verify pairs with."""
 
     def __init__(self, spark: SparkSession, sets: DataFrame):
-        self.sets, self.label = sets, spark.createDataFrame([], "g long, c long")
+        self.sets, self.label, self.known = sets, spark.createDataFrame([], "g long, c long"), 0
 
     def add(self, pairs: DataFrame) -> int:
         """Verify pairs and merge the classes of those that link; returns their number."""
@@ -201,7 +233,8 @@ class Classes:
         if count:
             # earlier links enter as one edge a node, to its class
             old = self.label.where("g <> c").select(F.col("g").alias("a"), F.col("c").alias("b"))
-            self.label = components(old.unionByName(found))
+            self.label = components(old.unionByName(found), self.known + count)
+            self.known += count
         return count
 
     def of(self, lists: DataFrame) -> DataFrame:
@@ -211,29 +244,41 @@ class Classes:
     def open_lists(self, lists: DataFrame, turn: int = 0) -> DataFrame:
         """(token, g, n, c, df, hub) of the lists that span two classes or more; the hub differs from turn to turn."""
         own = self.of(lists)
-        hub = F.min(F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), "g", "c")).alias("hub")
+        # the node with most of its set in lists first: an original has no edits of its own; later turns pick among the like
+        central = -F.col("w") if turn % 10 == 0 else -F.round("w", 1)
+        hub = F.min(F.struct(central.alias("w"), F.xxhash64("g", F.lit(turn)).alias("h"), "g", "c")).alias("hub")
         wide = own.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df"), hub).where("lo <> hi")
         return materialize(own.join(wide.select("token", "df", F.col("hub.g").alias("hub"), F.col("hub.c").alias("hub_c")), "token"), "open")
 
-    def contract(self, lists: DataFrame, part: int) -> DataFrame:
+    def contract(self, lists: DataFrame, part: int, turns: int, seed: int) -> DataFrame:
         """Verify members against their lists' hubs, turn by turn while that finds links; returns the lists still open.
 
         Only pairs that share at least n / part listed tokens are worth trying here; what is left open is for the exact step.
         """
-        for turn in range(STARS):
-            open_ = self.open_lists(lists, turn)
-            stars = open_.where("c <> hub_c").groupBy(F.col("hub").alias("a"), F.col("g").alias("b")).agg(F.count("*").alias("k"), F.first("n").alias("n"))
-            if not self.add(stars.where(f"{part} * k >= n")):
-                return open_
-        return self.open_lists(lists)
+        share = lists.groupBy("g").agg((F.count("*") / F.first("n")).alias("w"))
+        lists = lists.join(share, "g")
+        for turn in range(seed, seed + turns):
+            # a closed list never opens again
+            lists = self.open_lists(lists.select("token", "g", "n", "w"), turn)
+            stars = lists.where("c <> hub_c").groupBy(F.col("hub").alias("a"), F.col("g").alias("b")).agg(F.count("*").alias("k"), F.first("n").alias("n"))
+            worth = materialize(stars.where(f"{part} * k >= n").select("a", "b"), "stars")
+            tried = worth.count()
+            found = self.add(worth) if tried else 0
+            if 20 * found < tried or not tried:
+                return self.open_lists(lists.select("token", "g", "n", "w")) if found else lists
+        return self.open_lists(lists.select("token", "g", "n", "w"))
 
 
 def list_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b, k) of the pairs of different classes in lists, k: lists that hold both."""
-    left = lists.select("token", F.col("g").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    right = lists.select("token", F.col("g").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
-    met = left.join(right, "token").where("a < b and ca <> cb and 100 * least(na, nb) >= %d * greatest(na, nb)" % PERCENT)
-    return met.groupBy("a", "b").agg(F.count("*").alias("k"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    """(a, b, k) of the pairs of different classes in lists that sizes allow, k: lists that hold both.
+
+    most: how many of a node's shingles other classes hold at all, so two nodes share no more than the lesser of both.
+    """
+    cols = lambda s: ["token", *[F.col(c).alias(f"{c}{s}") for c in ("g", "c", "n", "most")]]
+    left, right = lists.select(*cols("a")), lists.select(*cols("b"))
+    fits = f"ga < gb and ca <> cb and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb) and {100 + PERCENT} * least(mosta, mostb, na, nb) >= {PERCENT} * (na + nb)"
+    met = left.join(right, "token").where(fits)
+    return met.groupBy(F.col("ga").alias("a"), F.col("gb").alias("b")).agg(F.count("*").alias("k"), F.first("na").alias("na"), F.first("nb").alias("nb"))
 
 
 def explode_sets(sets: DataFrame) -> DataFrame:
@@ -255,8 +300,9 @@ def _rare_pairs(open_: DataFrame, least) -> tuple[DataFrame, DataFrame]:
     """
     many = materialize(open_.where(F.col("df") > RARE).groupBy("g").agg(F.count("*").alias("h"), F.first("n").alias("n")), "many")
     h = lambda side: many.select(F.col("g").alias(side), F.col("h").alias(f"h{side}"))
-    rated = list_pairs(open_.where(F.col("df") <= RARE)).join(h("a"), "a", "left").join(h("b"), "b", "left")
-    return rated.where(F.col("k") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) >= least), many
+    rated = list_pairs(open_.where(F.col("df") <= RARE).withColumn("most", F.col("n"))).join(h("a"), "a", "left").join(h("b"), "b", "left")
+    pairs = rated.where(F.col("k") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) >= least).select("a", "b")
+    return materialize(pairs, "pairs"), many
 
 
 def link_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -271,24 +317,25 @@ def link_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("_id"), "text").join(able, F.col("_id") == F.col("doc_id"))
     sets = materialize(set_table(texts), "sets")
     classes = Classes(spark, sets)
-    open_ = classes.contract(materialize(lists.join(able.select("g", "n"), "g"), "able-lists"), 10)
+    open_ = classes.contract(materialize(lists.join(able.select("g", "n"), "g"), "able-lists"), 10, STARS, 0)
     pairs, many = _rare_pairs(open_, 1 + F.floor(F.least("na", "nb") / 10))
-    classes.add(pairs)
+    if pairs.count():
+        classes.add(pairs)
     # a pair left over shares frequent shingles only: both nodes have enough of them
     again = materialize(many.where("h >= 1 + (8 * n) div 100").select("g", "n"), "again")
     if again.limit(1).count() == 0:
         return classes.label
     whole = materialize(shared_lists(explode_sets(sets.join(again.select("g"), "g", "left_semi"))).join(again, "g"), "whole")
-    open_ = classes.contract(whole, 5)
-    overlap = F.ceil(F.greatest("na", "nb") * PERCENT / 100)
-    pairs, many = _rare_pairs(open_, overlap)
-    classes.add(pairs)
-    # again a pair left over shares frequent shingles only, now of whole sets; of a core node's, the first ones that a partner cannot all lack
-    core = many.where(f"100 * h >= {PERCENT} * n").select("g")
-    order = Window.partitionBy("g").orderBy("token")
-    first = open_.where(F.col("df") > RARE).join(core, "g", "left_semi").withColumn("r", F.row_number().over(order)).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-    left = materialize(first.select("token", "g", "n"), "core")
-    classes.add(list_pairs(classes.contract(left, 1 << 30)))
+    open_ = classes.contract(whole, 5, 3 * STARS, 10)
+    # rare-first prefixes of whole sets: shingles that no other class holds come first, then the others by frequency; a
+    # partner cannot lack all of the first missing + 1
+    order = Window.partitionBy("g").orderBy("df", "token")
+    ranked = open_.withColumn("r", F.row_number().over(order)).withColumn("all", F.count("*").over(Window.partitionBy("g")))
+    most = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.col("all"))
+    first = materialize(ranked.where(F.col("r") <= most).select("token", "g", "n", "c", F.col("all").alias("most")), "first")
+    pairs = materialize(list_pairs(first).select("a", "b"), "pairs")
+    if pairs.count():
+        classes.add(pairs)
     return classes.label
 
 
