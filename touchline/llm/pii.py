@@ -121,7 +121,7 @@ def with_spans(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with every span of its texts replaced by its kind in brackets; null texts stay null."""
+    """docs with every span of its texts replaced by its kind in brackets (and n_chars, if there, counted anew); null texts stay null."""
     own = docs.columns
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), "text")
     found = materialize(find(inner, ["row"]).withColumn("_row", F.monotonically_increasing_id()), "spans")
@@ -134,7 +134,9 @@ def redact(docs: DataFrame) -> DataFrame:
     ).otherwise(F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), acc["out"].alias("out")))
     tail = lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substring(body, acc["pos"] + 1, F.length(body)))), "")
     text = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, tail)).otherwise(F.col("row.text"))
-    return with_spans(found).withColumn("_new", text).select(*[F.col("_new").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in own])
+    kind = docs.schema["n_chars"].dataType if "n_chars" in own else None
+    column = lambda c: F.col("_new").alias("text") if c == "text" else F.when(F.size("spans") > 0, F.length("_new").cast(kind)).otherwise(F.col("row")[c]).alias(c) if c == "n_chars" else F.col("row")[c].alias(c)
+    return with_spans(found).withColumn("_new", text).select(*[column(c) for c in own])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
