@@ -138,13 +138,13 @@ def relabel(spark, sf):
     return n.select("p_brand", F.row_number().over(Window.orderBy(F.desc("n"), "p_brand")).alias("label"))
 
 
-@query("a30_z_scores", "WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, year(l_shipdate) AS y, l_extendedprice AS v FROM lineitem), s AS (SELECT y, avg(v) AS m, stddev_samp(v) AS sd FROM l GROUP BY 1) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round((v - m) / sd, 6) AS z FROM l JOIN s USING (y) WHERE sd > 0 AND abs((v - m) / sd) > 1.9")
+@query("a30_z_scores", "WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, year(l_shipdate) AS y, l_extendedprice AS v FROM lineitem), s AS (SELECT y, avg(v) AS m, stddev_samp(v) AS sd FROM l GROUP BY 1) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round((v - m) / sd, 6) AS z FROM l JOIN s USING (y) WHERE sd > 0 AND abs((v - m) / sd) > 1.7")
 def z_scores(spark, sf):
     """Deviations from the season's mean."""
     from touchline.operators.audit import outliers
 
     ids = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return outliers(t(spark, sf, "lineitem").withColumn("y", F.year("l_shipdate")), ids, "y", ["l_extendedprice"], 1.9).select(*ids, F.round("z", 6).alias("z"))
+    return outliers(t(spark, sf, "lineitem").withColumn("y", F.year("l_shipdate")), ids, "y", ["l_extendedprice"], 1.7).select(*ids, F.round("z", 6).alias("z"))
 
 
 @query("k01_unpivot", "UNPIVOT (SELECT c_custkey, c_acctbal::DOUBLE AS acctbal, c_nationkey::DOUBLE AS nationkey FROM customer) ON acctbal, nationkey INTO NAME column_name VALUE value")

@@ -18,7 +18,7 @@ def _player_seasons(spark, sf):
     o = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     by = o.groupBy(F.col("o_custkey").alias("player_id"), F.year("o_orderdate").alias("season_id"), F.col("c_mktsegment").alias("seg"), F.col("c_nationkey").cast("string").alias("team")).agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("s"), F.avg("o_totalprice").alias("m"))
     pos = F.when(F.col("seg") == "BUILDING", "DF").when(F.col("seg") == "MACHINERY", "MF,DF").otherwise("FW")
-    base = by.select("player_id", "season_id", "team", pos.alias("fbref_position"), (F.col("n") * 5.0).alias("fbref_nineties"), (F.col("n") * 3).cast("double").alias("fbref_shots"), *[F.lit(200).alias(c) for c in ("ws_passes", "ws_take_ons", "ws_aerials")])
+    base = by.select("player_id", "season_id", "team", pos.alias("fbref_position"), (F.col("n") * 5.0).alias("fbref_nineties"), (F.col("n") * 3 + F.floor(F.col("s")) % 7).cast("double").alias("fbref_shots"), *[F.lit(200).alias(c) for c in ("ws_passes", "ws_take_ons", "ws_aerials")])
     i = F.col("s")
     return base.join(by.select("player_id", "season_id", "s"), ["player_id", "season_id"]).select("*", *[F.round((i * (k + 3)) % 997, 2).alias(f) for k, f in enumerate(P.FEATURES) if f != "derived_shots_per90"]).drop("s")
 
