@@ -137,6 +137,5 @@ r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGI
 o AS (SELECT d.doc_id, d.size, r.source_size, r.target, r.whole, r.target - r.whole * r.source_size AS rest,
     sum(size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, size) AS upto, sum(size) OVER (PARTITION BY d.source, h, d.doc_id, size) AS own
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
-SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN rest > 0 AND 2 * upto - own <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken,
-  (whole + CASE WHEN rest > 0 AND 2 * upto - own <= 2 * rest THEN 1 ELSE 0 END)::INTEGER AS copies FROM o
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN rest > 0 AND 2 * upto - own <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM o
 """
