@@ -368,3 +368,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\x0C\r]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(words[i : i + 4], ' ') AS shingle FROM (SELECT rid, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+met AS (SELECT a.rid AS a, b.rid AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.rid < b.rid GROUP BY 1, 2),
+link AS (SELECT a, b FROM met JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT rid, rid AS other FROM w UNION SELECT r.rid, e.b FROM reach r JOIN edge e ON e.a = r.other),
+low AS (SELECT reach.rid, min(w.doc_id) AS component_id FROM reach JOIN w ON w.rid = other GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM w LEFT JOIN n USING (rid) JOIN low USING (rid)
+"""

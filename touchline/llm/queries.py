@@ -19,5 +19,6 @@ QUERIES = {
 ORACLES = {
     "op1_topk": topk.SQL,
     "op7_mixing": mixing.SQL,
+    "op9_jaccard": ngram_join.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
