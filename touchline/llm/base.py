@@ -35,7 +35,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/touchline-{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a frame that materialize returned, once nothing will read it again."""
+    spark, path = df.sparkSession, getattr(df, "_written_at", None)
+    if path:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def crc_mod(column: str, modulus: int):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.base import map_batches, materialize, table
+from touchline.llm.base import discard, map_batches, materialize, table
 from touchline.llm.kernels import mix, shingles, words
 
 #: Links in one task's union-find.
@@ -256,17 +256,25 @@ class Classes:
         Only pairs that share at least n / part listed tokens are worth trying here; what is left open is for the exact step.
         """
         share = lists.groupBy("g").agg((F.count("*") / F.first("n")).alias("w"))
-        lists = lists.join(share, "g")
+        written, lists = lists, lists.join(share, "g")
+
+        def narrowed(turn: int) -> DataFrame:
+            # a closed list never opens again; what it was made from is read no more
+            nonlocal written
+            out = self.open_lists(lists.select("token", "g", "n", "w"), turn)
+            discard(written)
+            written = out
+            return out
+
         for turn in range(seed, seed + turns):
-            # a closed list never opens again
-            lists = self.open_lists(lists.select("token", "g", "n", "w"), turn)
+            lists = narrowed(turn)
             stars = lists.where("c <> hub_c").groupBy(F.col("hub").alias("a"), F.col("g").alias("b")).agg(F.count("*").alias("k"), F.first("n").alias("n"))
             worth = materialize(stars.where(f"{part} * k >= n").select("a", "b"), "stars")
             tried = worth.count()
             found = self.add(worth) if tried else 0
             if 20 * found < tried or not tried:
-                return self.open_lists(lists.select("token", "g", "n", "w")) if found else lists
-        return self.open_lists(lists.select("token", "g", "n", "w"))
+                return narrowed(0) if found else lists
+        return narrowed(0)
 
 
 def list_pairs(lists: DataFrame) -> DataFrame:
@@ -317,7 +325,9 @@ def link_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("_id"), "text").join(able, F.col("_id") == F.col("doc_id"))
     sets = materialize(set_table(texts), "sets")
     classes = Classes(spark, sets)
-    open_ = classes.contract(materialize(lists.join(able.select("g", "n"), "g"), "able-lists"), 10, STARS, 0)
+    chosen = materialize(lists.join(able.select("g", "n"), "g"), "able-lists")
+    discard(lists)
+    open_ = classes.contract(chosen, 10, STARS, 0)
     pairs, many = _rare_pairs(open_, 1 + F.floor(F.least("na", "nb") / 10))
     if pairs.count():
         classes.add(pairs)
@@ -326,13 +336,16 @@ def link_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     if again.limit(1).count() == 0:
         return classes.label
     whole = materialize(shared_lists(explode_sets(sets.join(again.select("g"), "g", "left_semi"))).join(again, "g"), "whole")
+    discard(open_)
     open_ = classes.contract(whole, 5, 3 * STARS, 10)
     # rare-first prefixes of whole sets: shingles that no other class holds come first, then the others by frequency; a
     # partner cannot lack all of the first missing + 1
-    order = Window.partitionBy("g").orderBy("df", "token")
-    ranked = open_.withColumn("r", F.row_number().over(order)).withColumn("all", F.count("*").over(Window.partitionBy("g")))
-    most = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.col("all"))
-    first = materialize(ranked.where(F.col("r") <= most).select("token", "g", "n", "c", F.col("all").alias("most")), "first")
+    order, own = Window.partitionBy("g").orderBy("df", "token"), Window.partitionBy("g")
+    frequent = F.col("df") > RARE
+    ranked = open_.withColumn("r", F.row_number().over(order)).withColumn("all", F.count("*").over(own)).withColumn("h", F.count(F.when(frequent, 1)).over(own))
+    last = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.col("all"))
+    # a pair that meets in no rare list shares frequent shingles only, and no more than either has
+    first = materialize(ranked.where(F.col("r") <= last).select("token", "g", "n", "c", "df", F.when(frequent, F.col("h")).otherwise(F.col("all")).alias("most")), "first")
     pairs = materialize(list_pairs(first).select("a", "b"), "pairs")
     if pairs.count():
         classes.add(pairs)
