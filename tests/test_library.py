@@ -11,6 +11,7 @@ from touchline.functions import core as C
 from touchline.functions import fuzzy as Z
 from touchline.operators import audit, events, identity, schedule, spend, tables
 from touchline.plans import archetypes, percentiles, signals
+from touchline.queries import modeling
 from touchline.sources import html_tables
 
 EVENT = "game_id long, minute int, second int, team_id long, team string, player_id long, player string, x double, y double, end_x double, end_y double, type string, outcome_type string, is_touch boolean, qualifiers array<struct<type:struct<displayName:string>,value:string>>"
@@ -182,3 +183,14 @@ def test_islands_and_differences(spark):
     got = tables.islands(df, ["k"], "o", "v").orderBy("first").collect()
     assert [(r.v, r.first, r.last) for r in got] == [("a", 1, 2), (None, 3, 3), ("a", 4, 4)]
     assert isinstance(pd.DataFrame(got), pd.DataFrame)
+
+
+def test_signals_take_every_sale(spark, tmp_path, monkeypatch):
+    orders = [(i, i % 7, datetime(1994 + i % 5, 1, 1), 1000.0 * i) for i in range(1, 120)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(i, i % 3, 10.0 * i, "x") for i in range(7)], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    seen = []
+    monkeypatch.setattr(modeling.S, "compare", lambda sales, arms, base, target, classify, **kw: seen.append((sales.count(), set(kw) - {"seed"})) or pd.DataFrame({"n": [0]}))
+    modeling.fee_signal(spark, str(tmp_path))
+    modeling.outgrew_signal(spark, str(tmp_path))
+    assert seen == [(119, set())] * 2
