@@ -284,6 +284,18 @@ def test_op9_hot_passages(spark, tmp_path):
     assert sorted(got) == sorted(brute_components(rows))
 
 
+def test_op9_null_ids(spark, tmp_path):
+    """Near copies without ids, copies of one of them, and one without an id that bridges two documents."""
+    w = lambda name: [f"{name}{i}" for i in range(100)]
+    cut = lambda t, head, tail: " ".join(["x"] * head + t[head : 100 - tail] + ["y"] * tail)
+    rows = [(None, cut(w("a"), 0, k)) for k in (0, 0, 3, 6)] + [(1, cut(w("b"), 0, 0)), (None, cut(w("b"), 0, 8)), (2, cut(w("b"), 8, 8)), (3, cut(w("c"), 0, 0))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.query(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(brute_components(rows), key=str)
+    assert [r.doc_id for r in ngram_join.one_of_each(docs).orderBy("doc_id").collect()] == [None, 1, 3]
+
+
 def test_components_over_many_parts(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PART", 20)
     edges = [(i, i + 1) for i in range(0, 199) if i % 50 != 49]

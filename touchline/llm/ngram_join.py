@@ -323,7 +323,13 @@ def link_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     if able.limit(1).count() == 0:
         return spark.createDataFrame([], "g long, c long")
     texts = docs.select(F.col("doc_id").alias("_id"), "text").join(able, F.col("_id") == F.col("doc_id"))
-    sets = materialize(set_table(texts), "sets")
+    found = set_table(texts)
+    nameless = able.where("doc_id is null")
+    if nameless.limit(1).count():
+        # all documents of these nodes lack an id: they are found by fingerprint, one set of each
+        own = document_sets(docs.where("doc_id is null"), ["text"]).join(nameless.select("g", "n"), ["g", "n"])
+        found = found.unionByName(set_table(own).groupBy("g", "n").agg(F.first("toks").alias("toks")))
+    sets = materialize(found, "sets")
     classes = Classes(spark, sets)
     chosen = materialize(lists.join(able.select("g", "n"), "g"), "able-lists")
     discard(lists)
