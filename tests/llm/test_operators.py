@@ -154,6 +154,16 @@ def test_op4_against_brute_force(spark, sf, tmp_path):
             assert all(([x.n_email, x.n_ip, x.n_card, x.n_phone], x.base_sha256) == brute_pii(by[x.doc_id]) for x in got if x.doc_id < 901 or x.doc_id == 903)
 
 
+def test_op4_spaced_cards(spark, tmp_path):
+    """Cards in texts without two adjacent digits."""
+    rows = [(i, f"pay by {sep.join('4111111111111111')} today") for i, sep in enumerate((" ", "-"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: ([x.n_email, x.n_ip, x.n_card, x.n_phone], x.base_sha256) for x in pii.query(spark, str(tmp_path)).collect()}
+    assert got == {d: brute_pii(t) for d, t in rows} and all(x[0] == [0, 0, 1, 0] for x in got.values())
+    assert [r.text for r in pii.redact(docs).collect()] == ["pay by [CARD] today"] * 2
+
+
 def test_op4_discovers_by_context(spark):
     seeds = [(i, f"please call agent number {4111111111111111 if i == 0 else ''} my badge code +1 555 555 {1000 + i} thanks") for i in range(12)]
     docs = spark.createDataFrame([*seeds, (99, "here my badge code 77-12345-AB is new")], "doc_id long, text string")

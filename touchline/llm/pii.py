@@ -65,7 +65,7 @@ def spans(text: Column, kind: str) -> Column:
         F.when(x["m"].isNotNull() & _valid(kind, x["m"]), F.concat(acc["out"], F.array(item(acc["pos"], x)))).otherwise(acc["out"]).cast(kind_of).alias("out"),
     )
     found = F.aggregate(parts, start, step, lambda acc: acc["out"])
-    has = F.contains(text, F.lit(NEEDS[kind])) if NEEDS[kind] else text.rlike("[0-9]{2}" if kind == "card" else "[0-9][0-9A-Za-z-]{5}")
+    has = F.contains(text, F.lit(NEEDS[kind])) if NEEDS[kind] else text.rlike(r"[0-9][\x20-]?[0-9]" if kind == "card" else "[0-9][0-9A-Za-z-]{5}")
     return F.when(has, found).otherwise(F.array().cast(kind_of))
 
 
