@@ -194,3 +194,14 @@ def test_signals_take_every_sale(spark, tmp_path, monkeypatch):
     modeling.fee_signal(spark, str(tmp_path))
     modeling.outgrew_signal(spark, str(tmp_path))
     assert seen == [(119, set())] * 2
+
+
+def test_archetype_queries_take_every_vector(spark, tmp_path, monkeypatch):
+    x = np.repeat(np.arange(5), 8)[:, None] * 10.0 + np.random.default_rng(1).normal(0, 0.1, (40, 3))
+    spark.createDataFrame([(500 + i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    r = modeling.ward(spark, str(tmp_path)).collect()[0]
+    assert (r.ari, r.smallest) == (1.0, 8)
+    seen = []
+    monkeypatch.setattr(modeling.A, "stability", lambda e, **kw: seen.append((e.count(), kw)))
+    modeling.stability(spark, str(tmp_path))
+    assert seen == [(40, {})]
