@@ -226,14 +226,12 @@ def main_text(source: str | None) -> str:
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     """keep columns with text and n_chars."""
-    frame = pages.select(*dict.fromkeys([*keep, "html"]))
-    at = frame.columns.index("html")
 
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        texts = [main_text(x.as_py()) for x in batch.column(at)]
+    def run(sources: pa.Array) -> dict[str, pa.Array]:
+        texts = [main_text(x.as_py()) for x in sources]
         return {"_text": pa.array(texts, pa.string()), "_n": pa.array([len(t) for t in texts], pa.int64())}
 
-    return map_batches(frame, run, "_text string, _n long", keep).withColumnsRenamed({"_text": "text", "_n": "n_chars"})
+    return map_batches(pages, run, "_text string, _n long", keep, ["html"]).withColumnsRenamed({"_text": "text", "_n": "n_chars"})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

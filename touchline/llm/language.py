@@ -34,10 +34,10 @@ def sample(docs: DataFrame) -> list[tuple[str, bytes]]:
     place = F.crc32(F.concat(F.lit("pick:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")) / F.lit(float(1 << 32))
     picked = pool.where(place < rate).select("lang", "text")
 
-    def pack(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        return {"bits": pa.array([np.packbits(spectrum(t.as_py() or "", BITS)[0]).tobytes() for t in batch.column(1)], pa.binary())}
+    def pack(texts: pa.Array) -> dict[str, pa.Array]:
+        return {"bits": pa.array([np.packbits(spectrum(t.as_py() or "", BITS)[0]).tobytes() for t in texts], pa.binary())}
 
-    return [(r.lang, bytes(r.bits)) for r in map_batches(picked, pack, "bits binary", ["lang"]).orderBy("lang", "bits").limit(2 * TRAIN_ROWS).collect()]
+    return [(r.lang, bytes(r.bits)) for r in map_batches(picked, pack, "bits binary", ["lang"], ["text"]).orderBy("lang", "bits").limit(2 * TRAIN_ROWS).collect()]
 
 
 def fit(rows: list[tuple[str, bytes]]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -86,14 +86,12 @@ def predict(texts: list[str | None], model: tuple[list[str], np.ndarray, np.ndar
 
 def identify(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     """keep columns with lang_pred and score; the model is bounded by MAX_LANGS languages."""
-    frame = docs.select(*dict.fromkeys([*keep, "text"]))
-    at = frame.columns.index("text")
 
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        names, scores = predict(batch.column(at).to_pylist(), model)
+    def run(texts: pa.Array) -> dict[str, pa.Array]:
+        names, scores = predict(texts.to_pylist(), model)
         return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
 
-    return map_batches(frame, run, "lang_pred string, score double", keep)
+    return map_batches(docs, run, "lang_pred string, score double", keep, ["text"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

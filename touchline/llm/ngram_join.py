@@ -1,24 +1,25 @@
-"""N-gram Jaccard join: prefix index with extended prefixes and frequency classes, verified exactly, as link classes.
+"""N-gram Jaccard join: extended prefixes, single rare tokens and combinations of frequent ones, then exact checks, as link classes.
 
-A document's set is its distinct 5-word shingles. Documents with equal sets are one node. Two nodes link at a Jaccard
-similarity of PERCENT / 100 or more, so each holds all but a fifth of its shingles in common with the other.
+A document's set is its distinct 5-word shingles, as 64-bit hashes. Documents with equal sets are one node. Two nodes link at
+a Jaccard similarity of PERCENT / 100 or more, so each holds all but a fifth of its shingles in common with the other.
 
 1. Every node indexes an extended prefix: the fifth of its shingles that may be missing in a partner, and
-   a tenth more, in hash order. Linked nodes then share at least that tenth (their token combination), so a node with fewer indexed
+   a tenth more, in hash order. Linked nodes then share at least that tenth, so a node with fewer indexed
    shingles in common with anyone has no link. Shingles held by one node only never leave the index.
-2. Posting lists are resolved by contraction instead of all their pairs: each member is verified against the list's
+2. Lists of copies are resolved by contraction instead of all their pairs: each member is verified against the list's
    first node, linked nodes become one class, and lists within one class are done. In rare shingles' lists (up to
    RARE nodes) the pairs of different classes are verified if they can share enough of the prefix.
 3. A pair left over shares frequent shingles only, so its nodes have more of them than may be missing. Those nodes are
-   indexed again over their whole sets, contracted again, and the rest is joined by rare-first prefixes: shingles of one
-   class only come first, then the others by exact frequency, and only pairs that share one of the first fifth are verified.
+   contracted again over their whole sets; then their rare-first prefixes are indexed, rare shingles singly and frequent ones
+   in combinations of two (see combinations), and the pairs that meet are verified.
 
 No step caps partners or candidates: every pair that could link is verified or is in one class already. Class ids come
 from min-label propagation with pointer jumping over verified links.
 
 Defined cases: null, empty and wordless texts have no set, link with nothing and are their own component; a text under
-five words is one shingle; repeated rows are equal sets; a null doc_id takes no part in a class id but gets its row;
-an empty table gives an empty result; texts of any length are hashed in bounded segments.
+five words is one shingle; repeated rows are equal sets; a null doc_id never names a class (a class of such rows only has
+a null component) but its row links and bridges like any other; an empty table gives an empty result; extra columns
+pass through one_of_each, whatever their names; texts of any length are hashed in bounded segments.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.base import discard, map_batches, materialize, table
+from touchline.llm.base import bound_batches, discard, map_batches, materialize, table, trim
 from touchline.llm.kernels import mix, shingles, words
 
 #: Links in one task's union-find.
@@ -49,19 +50,17 @@ def node_id(tokens: np.ndarray) -> int:
 
 
 def document_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """keep columns with n (set size) and g (fingerprint, null for an empty set)."""
-    frame = docs.select(*dict.fromkeys([*keep, "text"]))
-    at = frame.columns.index("text")
+    """keep columns with n (set size) and g (fingerprint, null for an empty set); only texts go to Python."""
 
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        n, g = np.zeros(len(batch), np.int64), np.full(len(batch), -1, np.int64)
-        for row, hashes in words(batch.column(at), lower=True):
+    def run(texts: pa.Array) -> dict[str, pa.Array]:
+        n, g = np.zeros(len(texts), np.int64), np.full(len(texts), -1, np.int64)
+        for row, hashes in words(texts, lower=True):
             if len(hashes):
                 s = shingles(hashes, WIDTH)
                 n[row], g[row] = len(s), node_id(s)
         return {"n": pa.array(n), "g": pa.array(g, mask=g < 0)}
 
-    return map_batches(frame, run, "n long, g long", keep)
+    return map_batches(docs, run, "n long, g long", keep, ["text"])
 
 
 def prefix_postings(docs: DataFrame) -> DataFrame:
@@ -86,10 +85,11 @@ def prefix_postings(docs: DataFrame) -> DataFrame:
                 if held > 500_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes))], names=["token", "g"])
                     tokens, nodes, held = [], [], 0
+            trim()
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes))], names=["token", "g"])
 
-    return docs.select("text").mapInArrow(run, "token long, g long")
+    return bound_batches(docs).select("text").mapInArrow(run, "token long, g long")
 
 
 def shared_lists(postings: DataFrame) -> DataFrame:
@@ -128,25 +128,21 @@ def shared_lists(postings: DataFrame) -> DataFrame:
 
 
 def set_table(texts: DataFrame) -> DataFrame:
-    """(g, n, toks): the sorted shingles of the texts whose fingerprint is g, 5 bytes each."""
+    """(g, n, toks): the sorted 64-bit shingle hashes of the texts whose fingerprint is g."""
 
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        out: list[bytes | None] = [None] * len(batch)
-        wanted = batch.column(1).to_pylist()
-        for row, hashes in words(batch.column(0), lower=True):
+    def run(column: pa.Array, wanted: pa.Array) -> dict[str, pa.Array]:
+        out: list[bytes | None] = [None] * len(column)
+        for row, hashes in words(column, lower=True):
             s = shingles(hashes, WIDTH)
-            if len(s) and node_id(s) == wanted[row]:
-                out[row] = np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
+            if len(s) and node_id(s) == wanted[row].as_py():
+                out[row] = s.astype("<u8").tobytes()
         return {"toks": pa.array(out, pa.binary())}
 
-    return map_batches(texts.select("text", "g", "n"), run, "toks binary", ["g", "n"]).where("toks is not null")
+    return map_batches(texts, run, "toks binary", ["g", "n"], ["text", "g"]).where("toks is not null")
 
 
 def _unpack(toks: bytes) -> np.ndarray:
-    raw = np.frombuffer(toks, np.uint8).reshape(-1, 5)
-    full = np.zeros((len(raw), 8), np.uint8)
-    full[:, :5] = raw
-    return full.view("<u8").ravel()
+    return np.frombuffer(toks, "<u8")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -168,9 +164,10 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 at = np.searchsorted(x, y)
                 common = int((x[np.minimum(at, len(x) - 1)] == y).sum()) if len(x) else 0
                 good[i] = 100 * common >= PERCENT * (len(x) + len(y) - common)
+            trim()
             yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return bound_batches(both).mapInArrow(run, "a long, b long")
 
 
 def _forest(edges: DataFrame, parts: int) -> DataFrame:
@@ -298,7 +295,7 @@ def explode_sets(sets: DataFrame) -> DataFrame:
                 t = _unpack(toks.as_py()).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(np.full(len(t), g, np.int64))], names=["token", "g"])
 
-    return sets.select("g", "toks").mapInArrow(run, "token long, g long")
+    return bound_batches(sets).select("g", "toks").mapInArrow(run, "token long, g long")
 
 
 def _rare_pairs(open_: DataFrame, least) -> tuple[DataFrame, DataFrame]:
@@ -313,22 +310,49 @@ def _rare_pairs(open_: DataFrame, least) -> tuple[DataFrame, DataFrame]:
     return materialize(pairs, "pairs"), many
 
 
-def link_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(g, c) of the nodes that link with another; nodes: (g, n, doc_id), one document for each different set."""
-    spark = docs.sparkSession
-    lists = materialize(shared_lists(prefix_postings(docs)), "lists")
+def combinations(open_: DataFrame) -> DataFrame:
+    """(token, g, n, c, most): the index of extended rare-first prefixes of whole sets; token is a key of one or two tokens.
+
+    Tokens that no other class holds come first, then the others by exact frequency. The first missing + 1 + B of a node
+    share at least B + 1 with those of a linked one. If one of these is rare, the two meet in its list. If all are frequent,
+    two of them are in the same of B buckets of a hash, so both nodes hold that bucket's combination of the two: only
+    combinations within a bucket are indexed, which keeps them below the size of the set. B follows the size class (power
+    of two) of a pair's smaller node; a node whose partner may be one class below is indexed for that class as well.
+    """
+    own = Window.partitionBy("g")
+    frequent = F.col("df") > RARE
+    ranked = open_.withColumn("r", F.row_number().over(own.orderBy("df", "token"))).withColumn("all", F.count("*").over(own)).withColumn("h", F.count(F.when(frequent, 1)).over(own))
+    ranked = ranked.withColumn("k", F.floor(F.log2("n")).cast("int"))
+    buckets = lambda k: f"greatest(1, shiftleft(1, {k}) div 8)"
+    # the place in the open part of the order up to which a prefix extended for class k reaches
+    last = lambda k: f"n - (n * {PERCENT} + 99) div 100 + 1 + {buckets(k)} - (n - all)"
+    near = materialize(ranked.where(F.expr(f"r <= {last('k')}")), "near")
+    rare = near.where(~frequent).select(F.xxhash64("token").alias("token"), "g", "n", "c", F.col("all").alias("most"))
+    classes = F.expr(f"case when k > 0 and {PERCENT} * n < 100 * shiftleft(1, k) then array(k, k - 1) else array(k) end")
+    dealt = near.where(frequent).withColumn("kk", F.explode(classes)).where(F.expr(f"r <= {last('kk')}"))
+    held = dealt.groupBy("g", "n", "c", "h", "kk", F.expr(f"pmod(xxhash64(token), {buckets('kk')})").alias("bucket")).agg(F.array_sort(F.collect_list("token")).alias("t"))
+    two = F.expr("explode(flatten(transform(t, (x, i) -> transform(slice(t, i + 2, size(t)), y -> xxhash64(kk, x, y)))))")
+    # a pair that meets in no rare list shares frequent shingles only, and no more than either has
+    return rare.unionByName(held.where(F.size("t") > 1).select(two.alias("token"), "g", "n", "c", F.col("h").alias("most")))
+
+
+def link_classes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(g, c) of the nodes that link with another.
+
+    texts: (key, text) of every document; nodes: (g, n, key, single), one key for each different set, and whether only one
+    row of texts has that key.
+    """
+    spark = texts.sparkSession
+    lists = materialize(shared_lists(prefix_postings(texts)), "lists")
     # a node that shares fewer indexed shingles than linked nodes must has no link
     held = lists.groupBy("g").agg(F.count("*").alias("k")).join(nodes, "g").where("k >= 1 + (8 * n) div 100")
-    able = materialize(held.select("g", "n", "doc_id"), "able")
+    able = materialize(held.select("g", "n", "key", "single"), "able")
     if able.limit(1).count() == 0:
         return spark.createDataFrame([], "g long, c long")
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(able, F.col("_id") == F.col("doc_id"))
-    found = set_table(texts)
-    nameless = able.where("doc_id is null")
-    if nameless.limit(1).count():
-        # all documents of these nodes lack an id: they are found by fingerprint, one set of each
-        own = document_sets(docs.where("doc_id is null"), ["text"]).join(nameless.select("g", "n"), ["g", "n"])
-        found = found.unionByName(set_table(own).groupBy("g", "n").agg(F.first("toks").alias("toks")))
+    found = set_table(texts.join(able.where("single"), "key"))
+    repeated = able.where("not single")
+    if repeated.limit(1).count():
+        found = found.unionByName(set_table(texts.join(repeated, "key")).groupBy("g", "n").agg(F.first("toks").alias("toks")))
     sets = materialize(found, "sets")
     classes = Classes(spark, sets)
     chosen = materialize(lists.join(able.select("g", "n"), "g"), "able-lists")
@@ -339,30 +363,28 @@ def link_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         classes.add(pairs)
     # a pair left over shares frequent shingles only: both nodes have enough of them
     again = materialize(many.where("h >= 1 + (8 * n) div 100").select("g", "n"), "again")
-    if again.limit(1).count() == 0:
-        return classes.label
-    whole = materialize(shared_lists(explode_sets(sets.join(again.select("g"), "g", "left_semi"))).join(again, "g"), "whole")
     discard(open_)
-    open_ = classes.contract(whole, 5, 3 * STARS, 10)
-    # rare-first prefixes of whole sets: shingles that no other class holds come first, then the others by frequency; a
-    # partner cannot lack all of the first missing + 1
-    order, own = Window.partitionBy("g").orderBy("df", "token"), Window.partitionBy("g")
-    frequent = F.col("df") > RARE
-    ranked = open_.withColumn("r", F.row_number().over(order)).withColumn("all", F.count("*").over(own)).withColumn("h", F.count(F.when(frequent, 1)).over(own))
-    last = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.col("all"))
-    # a pair that meets in no rare list shares frequent shingles only, and no more than either has
-    first = materialize(ranked.where(F.col("r") <= last).select("token", "g", "n", "c", "df", F.when(frequent, F.col("h")).otherwise(F.col("all")).alias("most")), "first")
-    pairs = materialize(list_pairs(first).select("a", "b"), "pairs")
-    if pairs.count():
-        classes.add(pairs)
+    if again.limit(1).count():
+        whole = materialize(shared_lists(explode_sets(sets.join(again.select("g"), "g", "left_semi"))).join(again, "g"), "whole")
+        open_ = classes.contract(whole, 5, 3 * STARS, 10)
+        index = materialize(combinations(open_), "index")
+        pairs = materialize(list_pairs(index).select("a", "b"), "pairs")
+        if pairs.count():
+            classes.add(pairs)
+        discard(open_)
+        discard(index)
+    discard(sets)
     return classes.label
 
 
 def classify(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    own = materialize(document_sets(docs, ["doc_id"]), "sets-of")
-    nodes = materialize(own.where("g is not null").groupBy("g", "n").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    label = link_classes(docs, nodes)
+    key = F.xxhash64("doc_id", "text")
+    own = materialize(document_sets(docs.select("doc_id", "text", key.alias("key")), ["doc_id", "key"]), "sets-of")
+    rows = own.where("g is not null").groupBy("g", "n", "key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
+    pick = F.min(F.struct((F.col("rows") > 1).alias("many"), "key")).alias("at")
+    nodes = materialize(rows.groupBy("g", "n").agg(F.min("doc_id").alias("doc_id"), pick).select("g", "n", "doc_id", F.col("at.key").alias("key"), (~F.col("at.many")).alias("single")), "nodes")
+    label = link_classes(docs.select(key.alias("key"), "text"), nodes)
     named = nodes.join(label, "g", "left").withColumn("c", F.coalesce("c", "g"))
     low = materialize(named.join(named.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("g", "n", "component_id"), "named")
     return own.join(low, ["g", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -371,17 +393,16 @@ def classify(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs that are first of their class: docs' own columns, one document of each group of linked ones.
 
-    Texts without words have no class and stay; of rows with the same id and set one stays. Only ids are shuffled: a
-    text is dropped if its (doc_id, set) is not the first of its class.
+    Texts without words have no class and stay; of rows with the same id and set one stays. Rows are written once with a
+    number; only their texts go to Python, and a row stays if its number is the first of its class.
     """
-    own = docs.columns
-    rows = materialize(document_sets(docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), "doc_id", "text"), ["row", "doc_id"]).withColumn("_row", F.monotonically_increasing_id()), "rows")
-    ids = rows.select("doc_id", "n", "g", "_row")
-    nodes = materialize(ids.where("g is not null").groupBy("g", "n").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("at")), "nodes")
-    label = link_classes(rows.select("row.*"), nodes.select("g", "n", "doc_id"))
+    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    rows = materialize(document_sets(numbered, ["row", "doc_id", "_row"]), "rows")
+    nodes = materialize(rows.where("g is not null").groupBy("g", "n").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("at")), "nodes")
+    label = link_classes(rows.select(F.col("_row").alias("key"), "row.text"), nodes.select("g", "n", F.col("at._row").alias("key"), F.lit(True).alias("single")))
     named = nodes.join(label, "g", "left").withColumn("c", F.coalesce("c", "g"))
     first = named.groupBy("c").agg(F.min("at").alias("at")).select(F.col("at._row").alias("_row"))
-    stay = materialize(first.unionByName(ids.where("g is null").select("_row")), "stay")
+    stay = materialize(first.unionByName(rows.where("g is null").select("_row")), "stay")
     return rows.join(stay, "_row", "left_semi").select("row.*")
 
 

@@ -38,10 +38,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[np.ndarray,
     chosen = docs.sparkSession.createDataFrame(ids, "id long, y int")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("y", "text", "doc_id")
 
-    def pack(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        return {"bits": pa.array([np.packbits(x).tobytes() for x in indicators(batch.column(1))], pa.binary())}
+    def pack(texts: pa.Array) -> dict[str, pa.Array]:
+        return {"bits": pa.array([np.packbits(x).tobytes() for x in indicators(texts)], pa.binary())}
 
-    got = map_batches(rows, pack, "bits binary", ["doc_id", "y"]).orderBy("doc_id", "bits").limit(4 * PER_CLASS).collect()
+    got = map_batches(rows, pack, "bits binary", ["doc_id", "y"], ["text"]).orderBy("doc_id", "bits").limit(4 * PER_CLASS).collect()
     if not got:
         return np.zeros((0, SHAPE_SIZE), np.uint8), np.zeros(0)
     bits = np.frombuffer(b"".join(bytes(r.bits) for r in got), np.uint8).reshape(len(got), -1)
@@ -89,14 +89,12 @@ def apply(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     used, weights, bias, a, b = model
     dense = np.zeros(SHAPE_SIZE)
     dense[used] = weights
-    frame = docs.select(*dict.fromkeys([*keep, "text"]))
-    at = frame.columns.index("text")
 
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        margins = np.array([dense[np.flatnonzero(x)].sum() for x in indicators(batch.column(at))])
+    def run(texts: pa.Array) -> dict[str, pa.Array]:
+        margins = np.array([dense[np.flatnonzero(x)].sum() for x in indicators(texts)])
         return {"score": pa.array(sigmoid(a * (margins + bias) + b), pa.float64())}
 
-    return map_batches(frame, run, "score double", keep)
+    return map_batches(docs, run, "score double", keep, ["text"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.llm.base import map_batches, table
 from touchline.llm.kernels import mix
 
-UNK_PENALTY, LONGEST, CHUNK, BLOCK, BLANK = 10.0, 48, 64, 1 << 19, 0x2581
+UNK_PENALTY, LONGEST, CHUNK, BLOCK, BLANK = 10.0, 48, 64, 1 << 18, 0x2581
+#: Cells of the lockstep tables of short runs.
+CELLS = 200_000
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 _RINV = np.uint64(pow(int(_R), -1, 1 << 64))
 NEG = -np.inf
@@ -287,8 +289,8 @@ class Encoder:
         order: list[np.ndarray] = []
         for a, b in zip(edges, edges[1:], strict=False):
             group = small[np.searchsorted(ulength[small], a, "right") : np.searchsorted(ulength[small], b, "right")]
-            for at in range(0, len(group), 40000):
-                g = group[at : at + 40000]
+            for at in range(0, len(group), CELLS // b):
+                g = group[at : at + CELLS // b]
                 where = ustart[g][:, None] + np.arange(b)[None, :]
                 codes = np.where(np.arange(b)[None, :] < ulength[g][:, None], code[np.minimum(where, n - 1)], 0)
                 rev, _, cnt = self._solve(codes, ulength[g])
@@ -342,21 +344,28 @@ class Encoder:
         return b"".join([raw[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
 
 
+_KNOWN: dict[int, Encoder] = {}
+
+
+def encoder(pieces: list[tuple[str, float, int]]) -> Encoder:
+    """The encoder of a piece list, built once a worker process; it holds one list at a time."""
+    key = hash(tuple(pieces))
+    if key not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[key] = Encoder(pieces)
+    return _KNOWN[key]
+
+
 def encode_documents(docs: DataFrame, keep: list[str], model: bytes | None = None, check: bool = False) -> DataFrame:
     """keep columns with ids, n_tokens, n_bytes (byte pieces), score of the path and, if asked, whether decoding gives the text back.
 
     The pieces (one model file) go to the executors with the task.
     """
     pieces = read_model(model or default_model())
-    frame = docs.select(*dict.fromkeys([*keep, "text"]))
-    at = frame.columns.index("text")
-    cache: list[Encoder] = []
-
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        if not cache:
-            cache.append(Encoder(pieces))
-        enc = cache[0]
-        texts = batch.column(at).to_pylist()
+
+    def run(column: pa.Array) -> dict[str, pa.Array]:
+        enc = encoder(pieces)
+        texts = column.to_pylist()
         ids = enc.encode(texts)
         counts = np.array([len(i) for i in ids], np.int64)
         flat = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
@@ -374,22 +383,18 @@ def encode_documents(docs: DataFrame, keep: list[str], model: bytes | None = Non
             out["round_trip"] = pa.array([enc.decode(i.tolist()) == (t or "") for i, t in zip(ids, texts, strict=True)], pa.bool_())
         return out
 
-    return map_batches(frame, run, "ids array<int>, n_tokens long, n_bytes long, score double" + ", round_trip boolean" * check, keep)
+    return map_batches(docs, run, "ids array<int>, n_tokens long, n_bytes long, score double" + ", round_trip boolean" * check, keep, ["text"])
 
 
 def decode_documents(encoded: DataFrame, keep: list[str], model: bytes | None = None) -> DataFrame:
     """keep columns with the text of ids; null ids give null."""
     pieces = read_model(model or default_model())
-    frame = encoded.select(*dict.fromkeys([*keep, "ids"]))
-    at = frame.columns.index("ids")
-    cache: list[Encoder] = []
 
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        if not cache:
-            cache.append(Encoder(pieces))
-        return {"text": pa.array([None if i is None else cache[0].decode(i) for i in batch.column(at).to_pylist()], pa.string())}
+    def run(column: pa.Array) -> dict[str, pa.Array]:
+        enc = encoder(pieces)
+        return {"text": pa.array([None if i is None else enc.decode(i) for i in column.to_pylist()], pa.string())}
 
-    return map_batches(frame, run, "text string", keep)
+    return map_batches(encoded, run, "text string", keep, ["ids"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,17 +156,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str], lis
 
 def score_texts(docs: DataFrame, words: list[str], stems: list[str], keep: list[str]) -> DataFrame:
     """keep columns with weight and clauses of each text; the lexicon is bounded by MAX_ENTRIES."""
-    frame = docs.select(*dict.fromkeys([*keep, "text"]))
-    at = frame.columns.index("text")
     cache: list[Grammar] = []
 
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    def run(texts: pa.Array) -> dict[str, pa.Array]:
         if not cache:
             cache.append(Grammar(words, stems))
-        got = [cache[0].score(t.as_py()) for t in batch.column(at)]
+        got = [cache[0].score(t.as_py()) for t in texts]
         return {"weight": pa.array([w for w, _ in got], pa.float64()), "clauses": pa.array([c for _, c in got], pa.int64())}
 
-    return map_batches(frame, run, "weight double, clauses long", keep)
+    return map_batches(docs, run, "weight double, clauses long", keep, ["text"])
 
 
 def fit(docs: DataFrame, words: list[str], stems: list[str], ids: list[tuple[int, int]]) -> tuple[float, float]:
