@@ -1,10 +1,11 @@
 """Main-text extraction by tag-path ratios.
 
-A page is read once by a tolerant tag scanner. Text goes to blocks, each under a root-to-leaf path of block elements;
-per path, text length, punctuation and link text are summed over all its blocks. The ratios text per block and
-punctuation per block are smoothed over neighbouring blocks in page order, fused by their product with the share of
-text outside links, and paths above a threshold (a fraction of the weighted mean) are content. The element that holds
-the content is found from these paths, and its blocks in page order, but for those of boilerplate elements, are the text.
+A page is read once by a tolerant tag scanner. Elements that hold no main text by their tag, role, class or id are left out.
+Text goes to blocks, each under a root-to-leaf path of block elements; per path, text length, punctuation and link text
+are summed over all its blocks. Text and punctuation per block are smoothed over neighbouring blocks in page order and
+fused, by their product with the share of text outside links, with the same ratio of the container; paths above a
+threshold (a fraction of the mean over all text) are content. The element that holds the content is found from these
+paths, and the text is its blocks of content paths, in page order; no tag is content by its name.
 
 Defined cases: null or empty html, or a page without content, gives an empty text; unclosed and misnested tags are
 closed as browsers do for blocks; repeated rows are extracted each; an empty table gives an empty result; memory is
@@ -42,7 +43,9 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>
 _NAMES = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _PUNCT = re.compile(r"[.,;:!?¡¿…。，、！？]")
 _END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I) for t in RAW}
-THRESHOLD = 0.15
+#: Elements whose sums a block's path is fused with, the weight of that, and the share of the mean score that content reaches.
+SECTIONS = frozenset("body div section article main aside nav header footer form center".split())
+FUSE, THRESHOLD = 2 / 3, 0.12
 
 
 class Page:
@@ -157,71 +160,82 @@ def _smooth(values: list[float]) -> list[float]:
     return [(values[max(0, i - 1)] + 2 * values[i] + values[min(n - 1, i + 1)]) / 4 for i in range(n)]
 
 
-def main_text(source: str | None) -> str:
-    """The page's main text."""
+def ratio(blocks: float, chars: float, marks: float, linked: float) -> float:
+    """Text per block, raised by punctuation per block, without the share in links."""
+    return chars / blocks * (1 + marks / blocks) * max(0.0, 1 - linked / chars)
+
+
+def path_scores(rows: list[tuple[int, int, str, int]], container: list[int]) -> dict[int, float]:
+    """The fused score of each path. rows: (path, element, text, characters in links) in page order; container: of an element.
+
+    A path's own ratio comes from its sums, its text and its marks smoothed over the blocks beside each of its blocks. It is
+    fused, as a weighted geometric mean, with the ratio of the container (article, section, division, ...) that holds the
+    block, summed over all that is in it, so that a heading or a short item counts by where it stands.
+    """
+    sums: dict[int, list[float]] = {}
+    held: dict[int, list[float]] = {}
+    for path, node, text, link in rows:
+        for s in (sums.setdefault(path, [0.0] * 4), held.setdefault(container[node], [0.0] * 4)):
+            for k, v in enumerate((1.0, float(len(text)), float(len(_PUNCT.findall(text))), float(min(link, len(text))))):
+                s[k] += v
+    chars = _smooth([sums[r[0]][1] / sums[r[0]][0] for r in rows])
+    marks = _smooth([sums[r[0]][2] / sums[r[0]][0] for r in rows])
+    found: dict[int, list[float]] = {}
+    for a, b, (path, node, _, _) in zip(chars, marks, rows, strict=True):
+        own = ratio(1.0, a, b, a * sums[path][3] / sums[path][1])
+        found.setdefault(path, []).append(own ** (1 - FUSE) * ratio(*held[container[node]]) ** FUSE)
+    return {p: sum(v) / len(v) for p, v in found.items()}
+
+
+def content_paths(rows: list[tuple[int, int, str, int]], container: list[int], threshold: float = THRESHOLD) -> set[int]:
+    """Paths whose score reaches threshold times the mean over all text; if no path has a score, all paths."""
+    score = path_scores(rows, container)
+    if not any(score.values()):
+        return set(score)
+    total = sum(len(r[2]) for r in rows)
+    least = threshold * sum(score[r[0]] * len(r[2]) for r in rows) / total
+    return {p for p, v in score.items() if v >= least and v > 0}
+
+
+def main_text(source: str | None, threshold: float = THRESHOLD) -> str:
+    """The page's main text: blocks of content paths under the element that holds most of them, in page order."""
     if not source:
         return ""
     page = Page(source)
     rows = []
     for path, node, pieces, link in page.blocks:
-        text = " ".join("".join(pieces).split())
+        text = "" if page.skip[node] else " ".join("".join(pieces).split())
         if text:
-            rows.append((path, node, text, link[0], page.skip[node]))
-    if not any(not r[4] for r in rows):
+            rows.append((path, node, text, link[0]))
+    if not rows:
         return ""
-    sums: dict[int, list[float]] = {}
-    for path, _, text, link, _ in rows:
-        s = sums.setdefault(path, [0.0, 0.0, 0.0, 0.0])
-        for k, v in enumerate((1.0, float(len(text)), float(len(_PUNCT.findall(text))), float(min(link, len(text))))):
-            s[k] += v
-    text_ratio = _smooth([sums[r[0]][1] / sums[r[0]][0] for r in rows])
-    mark_ratio = _smooth([sums[r[0]][2] / sums[r[0]][0] for r in rows])
-    fused = [a * (1 + b) * (1 - sums[r[0]][3] / sums[r[0]][1]) for a, b, r in zip(text_ratio, mark_ratio, rows, strict=True)]
-    by_path: dict[int, list[float]] = {}
-    for f, r in zip(fused, rows, strict=True):
-        if not r[4]:
-            by_path.setdefault(r[0], []).append(f)
-    score = {p: sum(v) / len(v) for p, v in by_path.items()}
-    weight = {p: sums[p][1] for p in score}
-    least = THRESHOLD * sum(score[p] * weight[p] for p in score) / max(1.0, sum(weight.values()))
-    content = {p for p in score if score[p] >= least and score[p] > 0}
-    # text of content paths under each element
-    held: dict[int, float] = {}
-    for path, node, text, _, skip in rows:
-        if path in content and not skip:
-            while node >= 0:
-                held[node] = held.get(node, 0.0) + len(text)
-                node = page.parent[node]
-    total = held.get(0, 0.0)
-    mains = [n for n in held if page.main[n] and held[n] >= 0.5 * total]
+    container: list[int] = []
+    for node, tag in enumerate(page.tags):
+        container.append(node if tag in SECTIONS or page.parent[node] < 0 else container[page.parent[node]])
+    content = content_paths(rows, container, threshold)
+    # text of content paths under each element; the parent's number is less than the child's
+    held = [0] * len(page.tags)
+    for path, node, text, _ in rows:
+        if path in content:
+            held[node] += len(text)
+    for node in range(len(held) - 1, 0, -1):
+        held[page.parent[node]] += held[node]
+    mains = [n for n in range(len(held)) if page.main[n] and 2 * held[n] >= held[0] > 0]
     if mains:
-        # the outermost, unless one within it holds nearly as much
+        # the outermost, unless one within it holds as much
         root = min(mains, key=lambda n: (-held[n], -n))
     else:
-        root = 0
-        kids: dict[int, list[int]] = {}
-        for n in held:
-            if n:
-                kids.setdefault(page.parent[n], []).append(n)
-        while True:
-            best = max((c for c in kids.get(root, []) if page.tags[c] in CONTAINERS), key=lambda c: (held[c], -c), default=None)
-            if best is None or held[best] < 0.8 * held[root]:
-                break
-            root = best
-    inside = {root: True}
-
-    def under(node: int) -> bool:
-        seen = []
-        while node not in inside and node >= 0:
-            seen.append(node)
-            node = page.parent[node]
-        got = inside.get(node, False)
-        for s in seen:
-            inside[s] = got
-        return got
-
-    whole = bool(mains)
-    return " ".join(text for path, node, text, _, skip in rows if not skip and under(node) and (whole or path in content or page.tags[node] in ("h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "td", "th", "dd", "dt", "p", "figcaption")))
+        root, best = 0, {}
+        for n in range(1, len(held)):
+            if page.tags[n] in CONTAINERS and held[n] > held[best.get(page.parent[n], n)] - (page.parent[n] not in best):
+                best[page.parent[n]] = n
+        while root in best and held[best[root]] >= 0.8 * held[root] > 0:
+            root = best[root]
+    inside = [False] * len(held)
+    inside[root] = True
+    for n in range(root + 1, len(held)):
+        inside[n] = inside[page.parent[n]]
+    return " ".join(text for path, node, text, _ in rows if path in content and inside[node])
 
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
