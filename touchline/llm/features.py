@@ -88,6 +88,14 @@ def labelled_ids(labels: DataFrame, label: str, per_class: int, modulus: int) ->
     return found
 
 
+def thinned(rows: DataFrame, most: int) -> DataFrame:
+    """rows, or if they are more than most (ids that repeat), about so many of them by a hash of id and text."""
+    count = rows.count()
+    if count <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int((1 << 20) * most / count))
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
     """Weights (intercept last) of a ridge logistic regression by Newton's method; x: rows by few features."""
     a = np.hstack([x, np.ones((len(x), 1))])

@@ -1,7 +1,7 @@
 """Language identification by string kernels: blended-spectrum presence kernel, Nyström landmarks, one-versus-rest kernel ridge regression.
 
 The kernel of two texts is the number of hashed 1- to 3-grams of letters present in both, over the geometric mean of
-their numbers. A bounded sample of labelled rows (TRAIN_ROWS in all, dealt evenly over languages by a hash) is fitted
+their numbers. A bounded sample of labelled rows (about TRAIN_ROWS in all or LEAST_ROWS a language, dealt evenly over all languages by a hash) is fitted
 on the driver; scores of all documents are products of a batch's presence matrix with the landmarks' matrix folded
 with the regression's weights, which is the same sum in another order.
 
@@ -20,24 +20,25 @@ from pyspark.sql import functions as F
 from touchline.llm.base import crc_mod, map_batches, table
 from touchline.llm.features import spectrum
 
-BITS, TRAIN_ROWS, MAX_LANGS, LANDMARKS, RIDGE, SHARPNESS, BATCH = 14, 3000, 250, 256, 1e-3, 4.0, 64
+BITS, TRAIN_ROWS, LEAST_ROWS, LANDMARKS, RIDGE, SHARPNESS, BATCH = 14, 3000, 8, 256, 1e-3, 4.0, 64
 
 
 def sample(docs: DataFrame) -> list[tuple[str, bytes]]:
-    """(lang, packed presence) of at most about TRAIN_ROWS labelled texts that are not held out."""
+    """(lang, packed presence) of about TRAIN_ROWS labelled texts that are not held out, LEAST_ROWS of each language at least."""
     pool = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", 4) != 2))
-    counts = [(r.lang, r.n) for r in pool.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
+    counts = [(r.lang, r.n) for r in pool.groupBy("lang").agg(F.count("*").alias("n")).collect()]
     if not counts:
         return []
-    quota = max(1, TRAIN_ROWS // len(counts))
+    quota = max(LEAST_ROWS, TRAIN_ROWS // len(counts))
     rate = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, min(1.0, quota / n))]), F.col("lang"))
-    place = F.crc32(F.concat(F.lit("pick:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")) / F.lit(float(1 << 32))
+    # by id and text, so that rows without an id or with one id are thinned alike
+    place = F.pmod(F.xxhash64(F.lit("pick"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = pool.where(place < rate).select("lang", "text")
 
     def pack(texts: pa.Array) -> dict[str, pa.Array]:
         return {"bits": pa.array([np.packbits(spectrum(t.as_py() or "", BITS)[0]).tobytes() for t in texts], pa.binary())}
 
-    return [(r.lang, bytes(r.bits)) for r in map_batches(picked, pack, "bits binary", ["lang"], ["text"]).orderBy("lang", "bits").limit(2 * TRAIN_ROWS).collect()]
+    return [(r.lang, bytes(r.bits)) for r in map_batches(picked, pack, "bits binary", ["lang"], ["text"]).orderBy("lang", "bits").collect()]
 
 
 def fit(rows: list[tuple[str, bytes]]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -85,7 +86,7 @@ def predict(texts: list[str | None], model: tuple[list[str], np.ndarray, np.ndar
 
 
 def identify(docs: DataFrame, model, keep: list[str]) -> DataFrame:
-    """keep columns with lang_pred and score; the model is bounded by MAX_LANGS languages."""
+    """keep columns with lang_pred and score; the model is a vector for each learned language."""
 
     def run(texts: pa.Array) -> dict[str, pa.Array]:
         names, scores = predict(texts.to_pylist(), model)

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.base import crc_mod, map_batches, table
-from touchline.llm.features import SHAPE_SIZE, fit_logistic, labelled_ids, shape_indicators, sigmoid
+from touchline.llm.base import crc_mod, map_batches, materialize, table
+from touchline.llm.features import SHAPE_SIZE, fit_logistic, labelled_ids, shape_indicators, sigmoid, thinned
 from touchline.llm.kernels import words
 
 PER_CLASS, COST, EPOCHS, SMOOTH, MIN_ROWS, CUT = 2000, 0.1, 30, 1.0, 5, 0.3
@@ -36,12 +36,13 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[np.ndarray,
     if not ids:
         return np.zeros((0, SHAPE_SIZE), np.uint8), np.zeros(0)
     chosen = docs.sparkSession.createDataFrame(ids, "id long, y int")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("y", "text", "doc_id")
+    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("y", "text", "doc_id"), "sample")
+    rows = thinned(rows, 4 * PER_CLASS)
 
     def pack(texts: pa.Array) -> dict[str, pa.Array]:
         return {"bits": pa.array([np.packbits(x).tobytes() for x in indicators(texts)], pa.binary())}
 
-    got = map_batches(rows, pack, "bits binary", ["doc_id", "y"], ["text"]).orderBy("doc_id", "bits").limit(4 * PER_CLASS).collect()
+    got = map_batches(rows, pack, "bits binary", ["doc_id", "y"], ["text"]).orderBy("doc_id", "bits").collect()
     if not got:
         return np.zeros((0, SHAPE_SIZE), np.uint8), np.zeros(0)
     bits = np.frombuffer(b"".join(bytes(r.bits) for r in got), np.uint8).reshape(len(got), -1)

@@ -9,7 +9,8 @@ the hits of a whole text; only their clauses are run through the grammar. The cl
 probability by a logistic fit on the sample.
 
 Defined cases: null and empty texts have no clause and score as clean; with no labels the seed list and a fixed
-curve are used; repeated rows are scored each; an empty table gives an empty result.
+curve are used; repeated rows are scored each; an empty table gives an empty result; a
+clause of any length is run whole, in time linear in the text.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.base import crc_mod, map_batches, table
-from touchline.llm.features import fit_logistic, labelled_ids
+from touchline.llm.base import crc_mod, map_batches, materialize, table
+from touchline.llm.features import fit_logistic, labelled_ids, thinned
 
-PER_CLASS, MAX_ENTRIES, MIN_ODDS, LEFT, RIGHT, CUT = 2000, 2000, 12.0, 160, 80, 0.5
+PER_CLASS, MIN_ODDS, CUT = 2000, 12.0, 0.5
 #: Seed arcs.
 INSULTS = ("idiot", "idiots", "moron", "morons", "stupid", "loser", "losers", "scum", "trash", "pathetic", "worthless", "disgusting", "clown", "imbecile", "vermin")
 THREATS = ("kill", "hurt", "destroy", "beat", "strangle")
@@ -35,7 +36,8 @@ TARGETS = {"you", "your", "yours", "you're", "he", "she", "they", "them", "him",
 NEGATORS = {"not", "never", "no", "isn't", "aren't", "wasn't", "don't", "nicht", "kein", "pas", "jamais", "nunca"}
 REPORTERS = {"said", "says", "wrote", "quoted", "called", "claimed", "according", "reported", "alleged", "sagte", "dit", "dijo"}
 _TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”„«»]")
-_CLAUSE = re.compile(r"[.!?;:\n]")
+CLAUSE_ENDS = ".!?;:\n"
+_CLAUSE = re.compile(f"[{re.escape(CLAUSE_ENDS)}]")
 
 #: Factors of a hit's weight: a threat, near a target, soon after a negator, within reported or quoted words.
 THREAT, NEAR, NEGATED, REPORTED = 1.6, 1.4, 0.5, 0.6
@@ -106,14 +108,10 @@ class Grammar:
             at = end + 1 - len(word)
             if at < done or at and low[at - 1].isalpha() or not stem and end + 1 < len(low) and low[end + 1].isalpha():
                 continue
-            lo, hi = max(0, at - LEFT, done), min(len(low), end + 1 + RIGHT)
-            cuts = [m.end() for m in _CLAUSE.finditer(low, lo, at)]
-            lo = cuts[-1] if cuts else lo
-            cut = _CLAUSE.search(low, end + 1, hi)
-            hi = cut.start() if cut else hi
-            if not cut and hi < len(low):  # a clause without an end in sight stops at a word's end
-                while hi > end + 1 and low[hi - 1].isalpha() and low[hi].isalpha():
-                    hi -= 1
+            # the whole clause, however long; what lies before it is never looked at again
+            lo = max(done, 0, *(low.rfind(c, max(done, 0), at) + 1 for c in CLAUSE_ENDS))
+            cut = _CLAUSE.search(low, end + 1)
+            hi = cut.start() if cut else len(low)
             after = _TOKEN.findall(low, end + 1, hi)
             weight = self.run(_TOKEN.findall(low, lo, hi))
             if weight and any(t in TARGETS for t in after[:4]):
@@ -122,15 +120,20 @@ class Grammar:
         return total, clauses
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str], list[tuple[int, int]]]:
-    """Insult words and stems from the labelled sample, and the sample's ids; the sample is broadcast, being bounded."""
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(y, text) of the labelled sample, written once: PER_CLASS ids of each label, and of repeated ids a thinned part."""
     ids = labelled_ids(labels, "toxic", PER_CLASS, 5)
-    n1 = sum(y for _, y in ids)
-    n0 = len(ids) - n1
-    if not n1 or not n0:
-        return [], [], ids
     chosen = docs.sparkSession.createDataFrame(ids, "id long, y int")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("y", "text")
+    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "y", "text"), "sample")
+    return thinned(rows, 4 * PER_CLASS).select("y", "text")
+
+
+def learn(rows: DataFrame) -> tuple[list[str], list[str]]:
+    """Insult words and stems from the sample; as many as it holds."""
+    sizes = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    if not n1 or not n0:
+        return [], []
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,19 +146,20 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[str], lis
 
     each = rows.mapInArrow(contexts, "y int, word string, around string")
     count = each.where("length(word) >= 3").groupBy("word", "around").agg(F.max("y").alias("y1"), F.min("y").alias("y0")).groupBy("word").agg(F.sum("y1").alias("c1"), F.sum(1 - F.col("y0")).alias("c0"))
+    count = materialize(count, "words")
     least = max(4, n1 // 200)
     odds = ((F.col("c1") + 0.5) / (n1 + 1)) / ((F.col("c0") + 0.5) / (n0 + 1))
-    words = [r.word for r in count.where((F.col("c1") >= least) & (odds >= MIN_ODDS)).orderBy(F.desc(odds), "word").limit(MAX_ENTRIES).collect()]
+    words = [r.word for r in count.where((F.col("c1") >= least) & (odds >= MIN_ODDS)).orderBy(F.desc(odds), "word").collect()]
     stems: list[str] = []
     for size in (4, 5, 6):
         by = count.where(F.length("word") > size).groupBy(F.substring("word", 1, size).alias("stem")).agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"), F.sum(F.when(F.col("c1") > 0, 1).otherwise(0)).alias("forms"))
-        good = by.where((F.col("c0") == 0) & (F.col("forms") >= 4) & (F.col("c1") >= 2 * least + 2)).orderBy(F.desc("c1"), "stem").limit(MAX_ENTRIES // 4).collect()
+        good = by.where((F.col("c0") == 0) & (F.col("forms") >= 4) & (F.col("c1") >= 2 * least + 2)).orderBy(F.desc("c1"), "stem").collect()
         stems += [r.stem for r in good if not any(r.stem.startswith(s) for s in stems)]
-    return words, stems, ids
+    return words, stems
 
 
 def score_texts(docs: DataFrame, words: list[str], stems: list[str], keep: list[str]) -> DataFrame:
-    """keep columns with weight and clauses of each text; the lexicon is bounded by MAX_ENTRIES."""
+    """keep columns with weight and clauses of each text; the lexicon is bounded by the sample's words."""
     cache: list[Grammar] = []
 
     def run(texts: pa.Array) -> dict[str, pa.Array]:
@@ -167,13 +171,9 @@ def score_texts(docs: DataFrame, words: list[str], stems: list[str], keep: list[
     return map_batches(docs, run, "weight double, clauses long", keep, ["text"])
 
 
-def fit(docs: DataFrame, words: list[str], stems: list[str], ids: list[tuple[int, int]]) -> tuple[float, float]:
-    """Slope and offset of the probability over log(1 + weight)."""
-    if len({y for _, y in ids}) < 2:
-        return 8.0, -2.0
-    chosen = docs.sparkSession.createDataFrame(ids, "id long, y int")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    got = score_texts(rows, words, stems, ["y", "doc_id"]).orderBy("doc_id", "weight").limit(4 * PER_CLASS).collect()
+def fit(rows: DataFrame, words: list[str], stems: list[str]) -> tuple[float, float]:
+    """Slope and offset of the probability over log(1 + weight), by the sample."""
+    got = score_texts(rows, words, stems, ["y"]).select("y", "weight").orderBy("y", "weight").collect()
     if len({r.y for r in got}) < 2:
         return 8.0, -2.0
     a, b = fit_logistic(np.log1p([[r.weight] for r in got]), np.array([r.y for r in got], float))
@@ -182,8 +182,9 @@ def fit(docs: DataFrame, words: list[str], stems: list[str], ids: list[tuple[int
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    words, stems, ids = learn(docs, table(spark, sf_dir, "labels"))
-    a, b = fit(docs, words, stems, ids)
+    rows = sample(docs, table(spark, sf_dir, "labels"))
+    words, stems = learn(rows)
+    a, b = fit(rows, words, stems)
     curve = 1 / (1 + F.exp(-(F.lit(a) * F.log1p("weight") + F.lit(b))))
     out = score_texts(docs, words, stems, ["doc_id"]).withColumn("score", curve)
     return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), "clauses")
