@@ -8,7 +8,9 @@ A text is cut where no piece can span two neighbouring characters. There the bou
 runs between cuts are solved apart, in lockstep and once for each different run of a block. A run longer than LONGEST
 is split in chunks of CHUNK characters whose boundary states are the places where the first piece after the cut may start:
 each chunk yields a max-plus transfer matrix, the matrices are combined associatively by a parallel scan, and every
-chunk is then solved again from its true entry scores and traced back on its own. Results do not depend on the cuts.
+chunk is then solved again from its true entry scores and traced back on its own. A giant text (above GIANT bytes) is cut to
+stretches of STRETCH characters that become rows of their own, whatever their content, and go through the same three
+steps over all tasks. Results do not depend on the cuts.
 
 Defined cases: null and empty texts have no pieces; decoding returns the very text, as a literal U+2581 or
 any unknown character goes through byte pieces; repeated rows are encoded each; an empty table gives an empty result;
@@ -17,16 +19,20 @@ memory is a constant per character of one text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm.base import map_batches, table
+from touchline.llm.base import map_batches, materialize, table
 from touchline.llm.kernels import mix
 
 UNK_PENALTY, LONGEST, CHUNK, BLOCK, BLANK = 10.0, 48, 64, 1 << 18, 0x2581
+#: Symbols of a stretch of a giant text (a multiple of CHUNK), bytes that make a text giant, symbols that follow a stretch.
+STRETCH, GIANT, OVERHANG = 1 << 16, 1 << 22, 32
 #: Cells of the lockstep tables of short runs.
 CELLS = 200_000
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -185,35 +191,45 @@ class Encoder:
             out[2::2] = times(half[: len(rest)], rest)
         return out
 
-    def solve_long(self, codes: np.ndarray, group: int = 256) -> np.ndarray:
-        """Pieces of one long run, front to back, by the scan over chunks."""
-        n, states = len(codes), self.longest
-        k = -(-n // CHUNK)
-        padded = np.concatenate([codes.astype(np.int64), np.full(k * CHUNK - n, -1, np.int64)])
-        edge = lambda g: padded[g * CHUNK : min(k, g + group) * CHUNK + states]
-        unit = np.full((states, states), NEG)
-        np.fill_diagonal(unit, 0)
+    def _padded(self, codes: np.ndarray, n: int) -> np.ndarray:
+        """The n codes of a stretch, those after it up to the longest piece, and -1 from the text's end on."""
+        full = -(-n // CHUNK) * CHUNK + self.longest
+        return np.concatenate([codes[:full].astype(np.int64), np.full(max(0, full - len(codes)), -1, np.int64)])
 
-        def scores(g: int) -> tuple[np.ndarray, np.ndarray]:
-            part = edge(g)
+    def _chunks(self, padded: np.ndarray, group: int = 256):
+        """(first chunk, ids, gains) of groups of chunks."""
+        k = (len(padded) - self.longest) // CHUNK
+        for g in range(0, k, group):
+            part = padded[g * CHUNK : min(k, g + group) * CHUNK + self.longest]
             count = min(k, g + group) - g
-            ids, gains = self._chunk_scores(np.concatenate([part, np.full(max(0, (count + 1) * CHUNK - len(part)), -1, np.int64)])[: (count + 1) * CHUNK])
-            return ids[:count], gains[:count]
+            ids, gains = self._chunk_scores(np.concatenate([part, np.full((count + 1) * CHUNK - len(part), -1, np.int64)]))
+            yield g, ids[:count], gains[:count]
 
-        mats = []
-        for g in range(0, k, group):
-            gains = scores(g)[1]
-            best, _ = self._forward(gains, np.broadcast_to(unit, (len(gains), states, states)))
-            mats.append(best[:, :, CHUNK : CHUNK + states])
-        prefix = self._scan(np.concatenate(mats))
-        entry = np.full((k, states), NEG)
-        entry[0, 0] = 0
-        entry[1:] = prefix[:-1, 0, :]
+    def _matrices(self, padded: np.ndarray) -> np.ndarray:
+        """The max-plus transfer matrix of each chunk."""
+        states = self.longest
+        unit = np.full((states, states), NEG)
+        np.fill_diagonal(unit, 0)
+        return np.concatenate([self._forward(gains, np.broadcast_to(unit, (len(gains), states, states)))[0][:, :, CHUNK : CHUNK + states] for _, _, gains in self._chunks(padded)])
+
+    def transfer(self, codes: np.ndarray, n: int) -> np.ndarray:
+        """The transfer matrix of a stretch: best score from each entry state to each exit state."""
+        mats = self._matrices(self._padded(codes, n))
+        while len(mats) > 1:
+            odd = mats[-1:] if len(mats) % 2 else mats[:0]
+            pairs = [(x[:, :, None] + y[None, :, :]).max(1) for x, y in zip(mats[0 : len(mats) - len(odd) : 2], mats[1::2], strict=False)]
+            mats = np.concatenate([np.stack(pairs), odd])
+        return mats[0]
+
+    def _traces(self, codes: np.ndarray, n: int, entry: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Back-to-front pieces of each chunk by exit state, and the entry state that each exit state leads to, given entry scores."""
+        padded, states = self._padded(codes, n), self.longest
+        prefix = self._scan(self._matrices(padded))
+        entries = np.concatenate([entry[None, :], (entry[None, :, None] + prefix[:-1]).max(1)])
         traces, maps = [], []
-        for g in range(0, k, group):
-            ids, gains = scores(g)
-            _, back = self._forward(gains, entry[g : g + group])
+        for g, ids, gains in self._chunks(padded):
             count = len(ids)
+            _, back = self._forward(gains, entries[g : g + count])
             rows = np.repeat(np.arange(count), states)
             pos = np.tile(np.arange(CHUNK, CHUNK + states), count)
             steps = []
@@ -224,24 +240,45 @@ class Encoder:
                 if not live.any():
                     break
                 start = np.where(live, pos - size, 0)
-                steps.append(np.where(live & (start < CHUNK), ids[rows, np.minimum(start, CHUNK - 1), np.maximum(size, 1) - 1], -2) * live + -2 * ~live)
-                steps[-1] = np.where(live & (padded[(g + rows) * CHUNK + np.minimum(start, CHUNK - 1)] < 0), -2, steps[-1])
+                real = live & (start < CHUNK) & (padded[(g + rows) * CHUNK + np.minimum(start, CHUNK - 1)] >= 0)
+                steps.append(np.where(real, ids[rows, np.minimum(start, CHUNK - 1), np.maximum(size, 1) - 1], -2))
                 pos = np.where(live, start, pos)
             traces.append((np.stack(steps, 1) if steps else np.full((count * states, 0), -2)).reshape(count, states, -1))
             maps.append(np.minimum(pos, states - 1).reshape(count, states))
-        entry_of = np.concatenate(maps)
-        exits, state = np.zeros(k, np.int64), 0
-        for c in range(k - 1, -1, -1):  # the composed maps at the true end state
+        return traces, np.concatenate(maps)
+
+    def entry_of(self, codes: np.ndarray, n: int, entry: np.ndarray) -> np.ndarray:
+        """The entry state of a stretch that each exit state leads to."""
+        state = np.arange(self.longest)
+        for m in self._traces(codes, n, entry)[1][::-1]:
+            state = m[state]
+        return state
+
+    def stretch(self, codes: np.ndarray, n: int, entry: np.ndarray, state: int) -> np.ndarray:
+        """Pieces that start in a stretch, front to back, with its entry scores and its exit state given."""
+        traces, maps = self._traces(codes, n, entry)
+        exits = np.zeros(len(maps), np.int64)
+        for c in range(len(maps) - 1, -1, -1):  # the composed maps at the true end state
             exits[c] = state
-            state = int(entry_of[c, state])
-        out: list[np.ndarray] = []
-        at = 0
+            state = int(maps[c, state])
+        out, at = [], 0
         for t in traces:
             own = t[np.arange(len(t)), exits[at : at + len(t)]][:, ::-1]
             out.append(own[own != -2])
             at += len(t)
         return np.concatenate(out)
 
+    def at_start(self) -> np.ndarray:
+        """Entry scores of a text's first stretch."""
+        return np.concatenate([[0.0], np.full(self.longest - 1, NEG)])
+
+    def solve_long(self, codes: np.ndarray) -> np.ndarray:
+        """Pieces of one long run, front to back, by the scan over chunks."""
+        return self.stretch(codes, len(codes), self.at_start(), 0)
+
+    def codes(self, cp: np.ndarray) -> np.ndarray:
+        return np.where(cp < 0x110000, self.char[np.minimum(cp, 0x10FFFF)], 0).astype(np.int64)
+
     def _bytes(self, cp: int) -> np.ndarray:
         return self.byte_id[list(chr(cp & 0x3FFFFFFF).encode("utf-8", "surrogatepass"))]
 
@@ -265,7 +302,7 @@ class Encoder:
         n = len(cp)
         if not n:
             return [np.zeros(0, np.int32) for _ in texts]
-        code = np.where(cp < 0x110000, self.char[np.minimum(cp, 0x10FFFF)], 0).astype(np.int64)
+        code = self.codes(cp)
         new = np.ones(n, bool)
         new[1:] = ~self.joined[self._pair_slot(code[:-1], code[1:])] | (code[1:] == 0) | (code[:-1] == 0)
         new[bounds[:-1][bounds[:-1] < n]] = True
@@ -356,34 +393,139 @@ def encoder(pieces: list[tuple[str, float, int]]) -> Encoder:
     return _KNOWN[key]
 
 
+def stretches(data: np.ndarray, size: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, end of what follows) in bytes of a UTF-8 text's stretches of size symbols, the leading blank included."""
+    start, seen, wanted = 0, 0, size - 1
+    for lo in range(0, len(data), 1 << 22):
+        at = np.flatnonzero((data[lo : lo + (1 << 22)] & 0xC0) != 0x80) + lo
+        while seen + len(at) > wanted:
+            cut = int(at[wanted - seen])
+            yield start, cut, min(len(data), cut + 4 * OVERHANG)
+            start, wanted = cut, wanted + size
+        seen += len(at)
+    yield start, len(data), len(data)
+
+
+def _encode_giants(docs: DataFrame, keep: list[str], pieces: list[tuple[str, float, int]]) -> DataFrame:
+    """keep columns and ids of texts above GIANT bytes: stretches become rows that any task may take.
+
+    Their transfer matrices are combined by text (2 kB for 65,536 characters, so that the longest text that Spark holds in
+    a row has some 70 MB of them), which gives each stretch its entry scores; then each tells which entry state every exit
+    state leads to, the maps are composed from the text's end, and each stretch is traced back on its own.
+    """
+    rows = materialize(docs.select(F.struct(*[F.col(f"`{k}`").alias(f"c{i}") for i, k in enumerate(keep)]).alias("kept"), "text", F.monotonically_increasing_id().alias("row")), "giants")
+
+    size = STRETCH
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data = np.frombuffer(text.as_buffer(), np.uint8)
+                for no, (lo, hi, end) in enumerate(stretches(data, size)):
+                    # what follows may end within a character: only whole ones count
+                    after = data[hi:end].tobytes().decode("utf-8", "ignore")[:OVERHANG]
+                    yield pa.RecordBatch.from_arrays([pa.array([row]), pa.array([no], pa.int32()), pa.array([data[lo:hi].tobytes().decode()]), pa.array([after])], names=["row", "no", "part", "after"])
+
+    parts = materialize(rows.select("row", "text").mapInArrow(cut, "row long, no int, part string, after string").repartition("row", "no"), "stretches")
+
+    def known(enc: Encoder, no: int, part: str, after: str) -> tuple[np.ndarray, np.ndarray, int]:
+        cp = enc.symbols(part + after)[0 if no == 0 else 1 :]
+        return enc.codes(cp), cp, len(part) + (no == 0)
+
+    def matrices(no: pa.Array, part: pa.Array, after: pa.Array) -> dict[str, pa.Array]:
+        enc = encoder(pieces)
+        each = [known(enc, *x) for x in zip(no.to_pylist(), part.to_pylist(), after.to_pylist(), strict=True)]
+        return {"matrix": pa.array([enc.transfer(codes, n).tobytes() for codes, _, n in each], pa.binary())}
+
+    def entries(t: pa.Table) -> pa.Table:
+        enc = encoder(pieces)
+        t = t.sort_by("no")
+        state, out = enc.at_start(), []
+        for m in t.column("matrix").to_pylist():
+            out.append(state.tobytes())
+            state = (state[:, None] + np.frombuffer(m).reshape(enc.longest, enc.longest)).max(0)
+        return pa.table({"row": t.column("row"), "no": t.column("no"), "entry": pa.array(out, pa.binary())})
+
+    def maps(no: pa.Array, part: pa.Array, after: pa.Array, entry: pa.Array) -> dict[str, pa.Array]:
+        enc = encoder(pieces)
+        out = []
+        for x, e in zip(zip(no.to_pylist(), part.to_pylist(), after.to_pylist(), strict=True), entry.to_pylist(), strict=True):
+            codes, _, n = known(enc, *x)
+            out.append(enc.entry_of(codes, n, np.frombuffer(e)).tolist())
+        return {"leads": pa.array(out, pa.list_(pa.int32()))}
+
+    def exits(t: pa.Table) -> pa.Table:
+        t = t.sort_by("no")
+        state, out = 0, []
+        for m in t.column("leads").to_pylist()[::-1]:
+            out.append(state)
+            state = m[state]
+        return pa.table({"row": t.column("row"), "no": t.column("no"), "state": pa.array(out[::-1], pa.int32())})
+
+    def trace(no: pa.Array, part: pa.Array, after: pa.Array, entry: pa.Array, state: pa.Array) -> dict[str, pa.Array]:
+        enc = encoder(pieces)
+        out = []
+        for x, e, s in zip(zip(no.to_pylist(), part.to_pylist(), after.to_pylist(), strict=True), entry.to_pylist(), state.to_pylist(), strict=True):
+            codes, cp, n = known(enc, *x)
+            start = int(enc.entry_of(codes, n, np.frombuffer(e))[s])
+            out.append(enc._fill(enc.stretch(codes, n, np.frombuffer(e), s), cp[start:]).astype(np.int32).tolist())
+        return {"ids": pa.array(out, pa.list_(pa.int32()))}
+
+    at = ["row", "no"]
+    made = map_batches(parts, matrices, "matrix binary", at, ["no", "part", "after"])
+    parts = materialize(parts.join(made.groupBy("row").applyInArrow(entries, "row long, no int, entry binary"), at), "entries")
+    made = map_batches(parts, maps, "leads array<int>", at, ["no", "part", "after", "entry"])
+    parts = materialize(parts.join(made.groupBy("row").applyInArrow(exits, "row long, no int, state int"), at), "exits")
+    made = map_batches(parts, trace, "ids array<int>", at, ["no", "part", "after", "entry", "state"])
+    whole = made.groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("no", "ids"))), lambda x: x["ids"])).alias("ids"))
+    return rows.join(whole, "row").select(*[F.col(f"kept.c{i}").alias(k) for i, k in enumerate(keep)], "ids")
+
+
 def encode_documents(docs: DataFrame, keep: list[str], model: bytes | None = None, check: bool = False) -> DataFrame:
     """keep columns with ids, n_tokens, n_bytes (byte pieces), score of the path and, if asked, whether decoding gives the text back.
 
-    The pieces (one model file) go to the executors with the task.
+    The pieces (one model file) go to the executors with the task. Texts above GIANT bytes are cut over tasks, the others encoded
+    where they are; both ways give the same path.
     """
     pieces = read_model(model or default_model())
+    is_byte = np.array([p[2] == 1 for p in pieces], np.int64)
+    score = np.array([p[1] for p in pieces])
 
-    def run(column: pa.Array) -> dict[str, pa.Array]:
-        enc = encoder(pieces)
-        texts = column.to_pylist()
-        ids = enc.encode(texts)
+    def figures(ids: list[np.ndarray]) -> dict[str, pa.Array]:
         counts = np.array([len(i) for i in ids], np.int64)
         flat = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
         offsets = np.concatenate([[0], np.cumsum(counts)])
-        is_byte = np.zeros(len(pieces), np.int64)
-        is_byte[[i for i, p in enumerate(pieces) if p[2] == 1]] = 1
         sums = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[offsets])
-        out = {
+        return {
             "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())),
             "n_tokens": pa.array(counts),
             "n_bytes": pa.array(sums(is_byte[flat]).astype(np.int64)),
-            "score": pa.array(sums(enc.score[flat]).astype(float)),
+            "score": pa.array(sums(score[flat]).astype(float)),
         }
-        if check:
-            out["round_trip"] = pa.array([enc.decode(i.tolist()) == (t or "") for i, t in zip(ids, texts, strict=True)], pa.bool_())
-        return out
 
-    return map_batches(docs, run, "ids array<int>, n_tokens long, n_bytes long, score double" + ", round_trip boolean" * check, keep, ["text"])
+    def run(column: pa.Array) -> dict[str, pa.Array]:
+        enc = encoder(pieces)
+        texts = column.to_pylist()
+        ids = enc.encode(texts)
+        more = {"round_trip": pa.array([enc.decode(i.tolist()) == (t or "") for i, t in zip(ids, texts, strict=True)], pa.bool_())} if check else {}
+        return figures(ids) | more
+
+    def finish(column: pa.Array, *texts: pa.Array) -> dict[str, pa.Array]:
+        enc = encoder(pieces)
+        ids = [np.array(i.as_py(), np.int32) for i in column]
+        more = {"round_trip": pa.array([enc.decode(i.tolist()) == t.as_py() for i, t in zip(ids, texts[0], strict=True)], pa.bool_())} if check else {}
+        return figures(ids) | more
+
+    added = "ids array<int>, n_tokens long, n_bytes long, score double" + ", round_trip boolean" * check
+    giant = F.octet_length("text") > GIANT
+    out = map_batches(docs.where(F.coalesce(~giant, F.lit(True))), run, added, keep, ["text"])
+    giants = docs.where(giant)
+    if giants.limit(1).count() == 0:
+        return out
+    long = _encode_giants(giants, [*keep, "text"], pieces)
+    names = [f"k{i}" for i in range(len(keep))]
+    long = long.toDF(*names, "t", "found")
+    return out.unionByName(map_batches(long, finish, added, names, ["found", "t"] if check else ["found"]).toDF(*out.columns))
 
 
 def decode_documents(encoded: DataFrame, keep: list[str], model: bytes | None = None) -> DataFrame:
