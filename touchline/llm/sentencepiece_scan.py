@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.base import map_batches, materialize, table
-from touchline.llm.kernels import mix
+from touchline.llm.kernels import blocks, mix, text_buffers
 
-UNK_PENALTY, LONGEST, CHUNK, BLOCK, BLANK = 10.0, 48, 64, 1 << 18, 0x2581
+UNK_PENALTY, LONGEST, CHUNK, BLOCK, BLANK = 10.0, 48, 64, 1 << 19, 0x2581
 #: Symbols of a stretch of a giant text (a multiple of CHUNK), bytes that make a text giant, symbols that follow a stretch.
 STRETCH, GIANT, OVERHANG = 1 << 16, 1 << 22, 32
 #: Cells of the lockstep tables of short runs.
-CELLS = 200_000
+CELLS, SLOTS = 200_000, 3
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 _RINV = np.uint64(pow(int(_R), -1, 1 << 64))
 NEG = -np.inf
@@ -89,27 +89,30 @@ class Encoder:
         return int(h[0])
 
     def _table(self, keys: list[int], ids: list[int]) -> None:
-        """Two-slot buckets, with a multiplier under which no bucket overflows."""
+        """Buckets of SLOTS, with a multiplier under which no bucket overflows."""
         own = np.array(keys, np.uint64)
-        bits = 18
-        for turn in range(64):
+        bits = max(8, int(len(own)).bit_length() + 1)
+        for turn in range(1000):
             self.mult = np.uint64((0xD6E8FEB86659FD93 + 2 * turn * 0x9E3779B97F4A7C15) & ((1 << 64) - 1) | 1)
             self.shift = np.uint64(64 - bits)
             slot = ((own * self.mult) >> self.shift).astype(np.int64)
-            if len(slot) == 0 or np.bincount(slot).max() <= 2:
+            if len(slot) == 0 or np.bincount(slot).max() <= SLOTS:
                 break
-            bits += turn % 4 == 3 and bits < 24
-        self.keys, self.vals = np.zeros((1 << bits, 2), np.uint64), np.full((1 << bits, 2), -1, np.int32)
+            bits += turn % 32 == 31 and bits < 24
+        self.keys, self.vals = np.zeros((SLOTS, 1 << bits), np.uint64), np.full((SLOTS, 1 << bits), -1, np.int32)
         used = np.zeros(1 << bits, np.int8)
         for s, k, i in zip(slot, own, ids, strict=True):
-            self.keys[s, used[s]], self.vals[s, used[s]] = k, i
+            self.keys[used[s], s], self.vals[used[s], s] = k, i
             used[s] += 1
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece ids of substring hashes, -1 where there is none."""
         slot = ((h * self.mult) >> self.shift).astype(np.int64)
-        first = np.where(self.keys[slot, 0] == h, self.vals[slot, 0], -1)
-        return np.where(self.keys[slot, 1] == h, self.vals[slot, 1], first)
+        out = np.full(h.shape, -1, np.int32)
+        for keys, vals in zip(self.keys, self.vals, strict=True):
+            hit = keys[slot] == h
+            out[hit] = vals[slot[hit]]
+        return out
 
     def symbols(self, text: str) -> np.ndarray:
         """Code points after the leading blank; a literal U+2581 becomes an unknown sign apart (its high bit set)."""
@@ -504,11 +507,14 @@ def encode_documents(docs: DataFrame, keep: list[str], model: bytes | None = Non
         }
 
     def run(column: pa.Array) -> dict[str, pa.Array]:
-        enc = encoder(pieces)
-        texts = column.to_pylist()
-        ids = enc.encode(texts)
-        more = {"round_trip": pa.array([enc.decode(i.tolist()) == (t or "") for i, t in zip(ids, texts, strict=True)], pa.bool_())} if check else {}
-        return figures(ids) | more
+        enc, made = encoder(pieces), []
+        sizes = np.diff(text_buffers(column)[1])
+        for lo, hi in blocks(np.concatenate([[0], np.cumsum(sizes)]), BLOCK):
+            texts = column.slice(lo, hi - lo).to_pylist()
+            ids = enc.encode(texts)
+            more = {"round_trip": pa.array([enc.decode(i.tolist()) == (t or "") for i, t in zip(ids, texts, strict=True)], pa.bool_())} if check else {}
+            made.append(figures(ids) | more)
+        return {k: pa.concat_arrays([m[k] for m in made]) for k in made[0]} if made else figures([]) | ({"round_trip": pa.array([], pa.bool_())} if check else {})
 
     def finish(column: pa.Array, *texts: pa.Array) -> dict[str, pa.Array]:
         enc = encoder(pieces)
