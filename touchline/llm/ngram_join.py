@@ -36,6 +36,8 @@ from touchline.llm.kernels import mix, shingles, words
 
 #: Links in one task's union-find.
 WIDTH, PERCENT, RARE, STARS, PART = 5, 80, 16, 2, 500_000
+#: Rows of two or three numbers that are broadcast, after a count.
+BROADCAST_ROWS = 500_000
 
 
 def missing(n):
@@ -145,8 +147,15 @@ def _unpack(toks: bytes) -> np.ndarray:
     return np.frombuffer(toks, "<u8")
 
 
+def only(rows: DataFrame, key: str, wanted: DataFrame, count: int) -> DataFrame:
+    """rows joined with wanted (count rows, one a key) before they are shuffled, if wanted is small enough to go everywhere."""
+    return rows.join(F.broadcast(wanted) if count <= BROADCAST_ROWS else wanted, key)
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) of pairs whose sets link. Rows of a hot node are split by Spark's skew handling of the joins."""
+    """The (a, b) of pairs (written) whose sets link. Rows of a hot node are split by Spark's skew handling of the joins."""
+    named = materialize(pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct(), "named")
+    sets = only(sets, "g", named, named.count())
     right = sets.select(F.col("g").alias("b"), F.col("toks").alias("tb"))
     left = sets.select(F.col("g").alias("a"), F.col("toks").alias("ta"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
@@ -250,10 +259,11 @@ class Classes:
     def contract(self, lists: DataFrame, part: int, turns: int, seed: int) -> DataFrame:
         """Verify members against their lists' hubs, turn by turn while that finds links; returns the lists still open.
 
+        lists: (token, g, n, w), w: the share of its set that a node has in lists at first.
+
         Only pairs that share at least n / part listed tokens are worth trying here; what is left open is for the exact step.
         """
-        share = lists.groupBy("g").agg((F.count("*") / F.first("n")).alias("w"))
-        written, lists = lists, lists.join(share, "g")
+        written = lists
 
         def narrowed(turn: int) -> DataFrame:
             # a closed list never opens again; what it was made from is read no more
@@ -346,16 +356,18 @@ def link_classes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     lists = materialize(shared_lists(prefix_postings(texts)), "lists")
     # a node that shares fewer indexed shingles than linked nodes must has no link
     held = lists.groupBy("g").agg(F.count("*").alias("k")).join(nodes, "g").where("k >= 1 + (8 * n) div 100")
-    able = materialize(held.select("g", "n", "key", "single"), "able")
-    if able.limit(1).count() == 0:
+    able = materialize(held.select("g", "n", "key", "single", (F.col("k") / F.col("n")).alias("w")), "able")
+    count = able.count()
+    if not count:
         return spark.createDataFrame([], "g long, c long")
-    found = set_table(texts.join(able.where("single"), "key"))
-    repeated = able.where("not single")
+    keyed = able.select("g", "n", "key", "single")
+    found = set_table(only(texts, "key", keyed.where("single"), count))
+    repeated = keyed.where("not single")
     if repeated.limit(1).count():
-        found = found.unionByName(set_table(texts.join(repeated, "key")).groupBy("g", "n").agg(F.first("toks").alias("toks")))
+        found = found.unionByName(set_table(only(texts, "key", repeated, count)).groupBy("g", "n").agg(F.first("toks").alias("toks")))
     sets = materialize(found, "sets")
     classes = Classes(spark, sets)
-    chosen = materialize(lists.join(able.select("g", "n"), "g"), "able-lists")
+    chosen = materialize(only(lists, "g", able.select("g", "n", "w"), count), "able-lists")
     discard(lists)
     open_ = classes.contract(chosen, 10, STARS, 0)
     pairs, many = _rare_pairs(open_, 1 + F.floor(F.least("na", "nb") / 10))
@@ -365,8 +377,11 @@ def link_classes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     again = materialize(many.where("h >= 1 + (8 * n) div 100").select("g", "n"), "again")
     discard(open_)
     if again.limit(1).count():
-        whole = materialize(shared_lists(explode_sets(sets.join(again.select("g"), "g", "left_semi"))).join(again, "g"), "whole")
-        open_ = classes.contract(whole, 5, 3 * STARS, 10)
+        count = again.count()
+        whole = materialize(shared_lists(explode_sets(only(sets, "g", again.select("g"), count))), "whole")
+        share = materialize(whole.groupBy("g").agg(F.count("*").alias("k")).join(again, "g").select("g", "n", (F.col("k") / F.col("n")).alias("w")), "share")
+        open_ = classes.contract(only(whole, "g", share, count), 5, 3 * STARS, 10)
+        discard(whole)
         index = materialize(combinations(open_), "index")
         pairs = materialize(list_pairs(index).select("a", "b"), "pairs")
         if pairs.count():
@@ -403,7 +418,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     named = nodes.join(label, "g", "left").withColumn("c", F.coalesce("c", "g"))
     first = named.groupBy("c").agg(F.min("at").alias("at")).select(F.col("at._row").alias("_row"))
     stay = materialize(first.unionByName(rows.where("g is null").select("_row")), "stay")
-    return rows.join(stay, "_row", "left_semi").select("row.*")
+    return only(rows, "_row", stay, stay.count()).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
