@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -131,13 +132,28 @@ def href_id(href: str | Column, part: str) -> Column:
     return F.nullif(F.regexp_extract(col(href), f"/{part}/([0-9]+)", 1), F.lit("")).cast("long")
 
 
-_LATIN = "àáâãäåāăąçćčďèéêëēęěìíîïīłñńňòóôõöōøřśšťùúûüūůýÿźžż"
-_PLAIN = "aaaaaaaaacccdeeeeeeeiiiiilnnnoooooooorsstuuuuuuyyzzz"
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Letters without their marks, by Unicode's compatibility decompositions: one for one, and one for several."""
+    one, several = {}, {}
+    for code in [*range(0xA0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000), *range(0x2C60, 0x2C80), *range(0xA720, 0xA800), *range(0xFB00, 0xFB07)]:
+        c = chr(code)
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if c.isalpha() and plain != c and c == c.lower() and plain:
+            (one if len(plain) == 1 else several)[c] = plain
+    return one, several
+
+
+_ONE, _SEVERAL = _folds()
+#: Combining marks, which a name in decomposed form holds.
+_MARKS = "".join(chr(c) for c in range(0x300, 0x370))
 
 
 def plain_name(name: str | Column) -> Column:
-    """Lower case without Latin accents, one blank between words; a dotless i stays as it is."""
-    low = F.translate(F.lower(col(name)), _LATIN.replace("ø", "").replace("ł", ""), "".join(p for c, p in zip(_LATIN, _PLAIN.ljust(len(_LATIN), "z"), strict=False) if c not in "øł"))
+    """Lower case without accents, one blank between words; letters that Unicode does not decompose (ø, ł, ß, ı) stay."""
+    low = F.translate(F.lower(col(name)), "".join(_ONE) + _MARKS, "".join(_ONE.values()))
+    # only texts that hold such a letter are gone through again
+    for c, plain in _SEVERAL.items():
+        low = F.replace(low, F.lit(c), F.lit(plain))
     return F.trim(F.regexp_replace(low, r"\s+", " "))
 
 

@@ -71,18 +71,54 @@ def ranges(spark, sf):
     return t(spark, sf, "orders").groupBy("o_orderstatus").agg(F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"), F.round(F.avg("o_totalprice"), 4).alias("mean"), F.count("*").alias("n"))
 
 
+_GAPS = "(SELECT n_name, CASE n_nationkey % 4 WHEN 0 THEN 'ws' WHEN 1 THEN 'fbref' WHEN 2 THEN 'tm' ELSE 'gk' END AS d, 2008 + o_orderkey % 12 AS s, (o_orderkey % 41) * 2.5::DOUBLE AS p, o_orderkey FROM orders JOIN nation ON n_nationkey = o_custkey % 25)"
+
+
+def _gaps(spark, sf):
+    o = t(spark, sf, "orders").join(t(spark, sf, "nation"), F.col("n_nationkey") == F.col("o_custkey") % 25)
+    d = F.element_at(F.array(*[F.lit(x) for x in ("ws", "fbref", "tm", "gk")]), (F.col("n_nationkey") % 4 + 1).cast("int"))
+    return o.select("o_orderkey", d.alias("d"), (2008 + F.col("o_orderkey") % 12).alias("s"), (F.col("o_orderkey") % 41 * 2.5).alias("p"))
+
+
 @query(
     "q08_annotations",
-    """WITH c AS (SELECT CASE n_nationkey % 4 WHEN 0 THEN 'ws_' WHEN 1 THEN 'fbref_' WHEN 2 THEN 'tm_' ELSE 'gk_' END || n_name AS c, 2008 + n_nationkey % 12 AS s, n_nationkey * 4.0::DOUBLE AS p FROM nation)
- SELECT c AS column_name, CASE WHEN p >= 80 THEN NULL WHEN c LIKE 'ws\\_%' ESCAPE '\\' AND s < 2013 THEN 'no event feed before its first season' WHEN c LIKE 'fbref\\_%' ESCAPE '\\' AND s BETWEEN 2010 AND 2017 AND p < 10 THEN 'advanced statistics not published'
-  WHEN c LIKE 'ws\\_%' ESCAPE '\\' AND s >= 2013 AND p BETWEEN 20 AND 60 THEN 'partial event feed' WHEN c LIKE 'tm\\_%' ESCAPE '\\' THEN 'unlinked player' WHEN c LIKE 'gk\\_%' ESCAPE '\\' THEN 'keepers only' END AS reason FROM c""",
+    f"""SELECT o_orderkey, CASE WHEN d = 'ws' AND s < 2013 THEN 'explained' WHEN d = 'fbref' AND s BETWEEN 2010 AND 2017 AND p < 10 THEN 'likely_explained'
+  WHEN d = 'ws' AND s >= 2013 AND p BETWEEN 20 AND 60 THEN 'likely_explained' WHEN p < 80 THEN 'unexplained' END AS tier FROM {_GAPS}""",
 )
 def annotations(spark, sf):
-    """Q08, Q09: known gaps, the first reason that holds."""
-    k = F.col("n_nationkey")
-    pre = F.element_at(F.array(*[F.lit(x) for x in ("ws_", "fbref_", "tm_", "gk_")]), (k % 4 + 1).cast("int"))
-    c = t(spark, sf, "nation").select(F.concat(pre, "n_name").alias("column_name"), (2008 + k % 12).alias("s"), (k * 4.0).alias("p"))
-    return c.select("column_name", A.gap_reason(F.col("column_name"), F.col("s"), F.col("p")).alias("reason"))
+    """Q08: known gaps by season, the first tier that holds."""
+    return _gaps(spark, sf).select("o_orderkey", A.gap_tier(F.col("d"), F.col("s"), F.col("p"))["tier"].alias("tier"))
+
+
+@query("q09_blended", f"SELECT o_orderkey, CASE WHEN d IN ('ws', 'fbref') AND p < 80 THEN 'unexplained_blended' END AS tier FROM {_GAPS}")
+def blended(spark, sf):
+    """Q09: coverage over all seasons is only marked as low."""
+    return _gaps(spark, sf).select("o_orderkey", A.blended_tier(F.col("d"), F.col("p")).alias("tier"))
+
+
+_LINES = "(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS q, year(l_shipdate) AS y, l_extendedprice AS v, l_discount AS d, l_tax AS x FROM lineitem)"
+
+
+def _far(spark, sf, **more):
+    l = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").alias("q"), F.year("l_shipdate").alias("y"), F.col("l_extendedprice").alias("v"), F.col("l_discount").alias("d"), F.col("l_tax").alias("x"))  # noqa: E741
+    return A.outliers(l, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "q"], "y", ["v", "d", "x"], 1.5, **more)
+
+
+@query(
+    "a31_floors",
+    f"WITH s AS (SELECT y, avg(v) AS mv, stddev_samp(v) AS sv, avg(d) AS md, stddev_samp(d) AS sd FROM {_LINES} GROUP BY 1) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'v' AS column_name FROM {_LINES} JOIN s USING (y) WHERE q >= 5 AND abs((v - mv) / sv) > 1.5"
+    f" UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'd' FROM {_LINES} JOIN s USING (y) WHERE q >= 5 AND l_linenumber >= 3 AND abs((d - md) / sd) > 1.5",
+)
+def floors(spark, sf):
+    """Flags need the least sample and their column's own floor; a column without a usable spread has none."""
+    return _far(spark, sf, least=("q", 5.0), floors={"d": ("l_linenumber", 3)}, excluded=("x",)).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "column_name")
+
+
+@query("a32_noise", f"WITH s AS (SELECT y, avg(v) AS mv, stddev_samp(v) AS sv FROM {_LINES} GROUP BY 1) SELECT 'v' AS column_name, count(*) FILTER (q < 45) AS excluded FROM {_LINES} JOIN s USING (y) WHERE abs((v - mv) / sv) > 1.5")
+def noise(spark, sf):
+    """How many far values the least sample keeps from being flagged."""
+    l = t(spark, sf, "lineitem").select("l_orderkey", F.col("l_quantity").alias("q"), F.year("l_shipdate").alias("y"), F.col("l_extendedprice").alias("v"))  # noqa: E741
+    return A.excluded_noise(l, ["l_orderkey", "q"], "y", ["v"], ("q", 45.0), 1.5)
 
 
 @query("q07_flags", "SELECT c_custkey, c_custkey % 10 = 0 AS reviewed, CASE WHEN c_custkey % 10 = 0 THEN 'known' END AS explanation FROM customer WHERE c_custkey % 10 = 0 OR c_acctbal < 0")

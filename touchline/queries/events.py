@@ -120,10 +120,10 @@ def href_ids(spark, sf):
     return t(spark, sf, "pages").select("page_id", C.href_id("url", "(?:en|de|fr|es)").alias("doc"), C.href_id("url", "en").alias("en_doc"))
 
 
-@query("p17_names", "SELECT doc_id, trim(regexp_replace(strip_accents(lower(regexp_extract(text, '^[^.]{0,60}'))), '\\s+', ' ', 'g')) AS name FROM documents WHERE lang IN ('fr', 'es')")
+@query("p17_names", "SELECT doc_id, trim(regexp_replace(strip_accents(lower(text)), '\\s+', ' ', 'g')) AS name FROM documents")
 def names(spark, sf):
-    """Accents folded by one translate, blanks collapsed."""
-    return t(spark, sf, "documents").where(F.col("lang").isin("fr", "es")).select("doc_id", C.plain_name(F.regexp_extract("text", r"^[^.]{0,60}", 0)).alias("name"))
+    """Accents folded by one translate, blanks collapsed, in whole texts."""
+    return t(spark, sf, "documents").select("doc_id", C.plain_name("text").alias("name"))
 
 
 @query(
@@ -178,10 +178,10 @@ def heights(spark, sf):
     return t(spark, sf, "customer").select("c_custkey", C.height_cm(h).alias("cm"))
 
 
-@query("p08_cooccurrence", "WITH e AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 50 = 0) SELECT x.event_type AS a, y.event_type AS b, count(*) AS n FROM e x JOIN e y ON x.user_id = y.user_id AND x.event_type < y.event_type GROUP BY ALL")
+@query("p08_cooccurrence", "WITH e AS (SELECT DISTINCT user_id, event_type FROM events) SELECT x.event_type AS a, y.event_type AS b, count(*) AS n FROM e x JOIN e y ON x.user_id = y.user_id AND x.event_type < y.event_type GROUP BY ALL")
 def cooccurrence(spark, sf):
     """Pairs of tags on one key, from its sorted distinct tags."""
-    e = t(spark, sf, "events").where("event_id % 50 = 0").groupBy("user_id").agg(F.collect_set("event_type").alias("t"))
+    e = t(spark, sf, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("t"))
     one = e.select("t", F.explode("t").alias("a"))
     return one.select("a", F.explode("t").alias("b")).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
 

@@ -103,10 +103,10 @@ def fee_signal(spark, sf):
     return spark.createDataFrame(out)
 
 
-@query("k33_outgrew", "WITH o AS (SELECT o_orderkey AS transfer_id, year(o_orderdate)::INTEGER + 20 AS s, o_totalprice / 10000 AS f FROM orders WHERE o_orderkey % 40 = 0 AND o_custkey IN (SELECT c_custkey FROM customer)), b AS (SELECT s, median(f) AS bar FROM o GROUP BY 1) SELECT transfer_id, (f >= bar)::INTEGER AS outgrew FROM o JOIN b USING (s)")
+@query("k33_outgrew", "WITH o AS (SELECT o_orderkey AS transfer_id, year(o_orderdate)::INTEGER + 20 AS s, o_totalprice / 10000 AS f FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)), b AS (SELECT s, median(f) AS bar FROM o GROUP BY 1) SELECT transfer_id, (f >= bar)::INTEGER AS outgrew FROM o JOIN b USING (s)")
 def outgrew(spark, sf):
-    """Labels by the season's bar, of the sales that its SQL takes."""
-    s = _sales(spark, sf).where("transfer_id % 40 = 0")
+    """Labels by the season's bar."""
+    s = _sales(spark, sf)
     index = s.groupBy(F.col("sale_season").alias("season_id")).agg(F.median("fee_amount").alias("median_fee"), F.avg("fee_amount").alias("mean_fee"))
     return S.outgrew(s, index).select("transfer_id", "outgrew")
 
