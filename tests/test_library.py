@@ -205,3 +205,66 @@ def test_archetype_queries_take_every_vector(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(modeling.A, "stability", lambda e, **kw: seen.append((e.count(), kw)))
     modeling.stability(spark, str(tmp_path))
     assert seen == [(40, {})]
+
+
+def test_names_fold_every_accent(spark):
+    """Against Unicode's decomposition, for all Latin letters with marks."""
+    import unicodedata
+
+    letters = [chr(c) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if chr(c).isalpha()]
+    want = {c: "".join(x for x in unicodedata.normalize("NFKD", c.lower()) if not unicodedata.combining(x)) for c in letters}
+    got = {r.c: r.n for r in spark.createDataFrame([(c,) for c in letters], "c string").select("c", C.plain_name("c").alias("n")).collect()}
+    assert {c: (got[c], want[c]) for c in letters if got[c] != want[c]} == {}
+    one = spark.createDataFrame([("  Où  Ždeněk Ştefan   Őry ",), ("José",)], "c string").select(C.plain_name("c").alias("n")).collect()
+    assert [r.n for r in one] == ["ou zdenek stefan ory", "jose"]
+
+
+def _season(n: int = 30) -> list[dict]:
+    """Sound master rows: 18 clubs with so many players that their minutes add up."""
+    rows = []
+    for club in range(18):
+        for p in range(n):
+            rows.append({"player_id": club * 100 + p, "season_id": 2020, "team": f"t{club}", "fbref_born": 1995, "fbref_position": "FW", "tm_height_cm": 180, "fbref_nineties": 12.4, "fbref_points_per_match": 1.5, "fbref_non_penalty_goals_per90": 0.0, "fbref_substitute_appearances": 1}
+                        | dict.fromkeys(audit.COUNTS, 0) | dict.fromkeys(audit.PERCENTS, 0.0) | dict.fromkeys([r for _, r in audit.PER90], 0.0)
+                        | {"fbref_minutes": 1116, "fbref_matches_played": 30, "fbref_starts": 10, "ws_matches_with_data": 30, "gk_goals_against": None})
+    return rows
+
+
+@pytest.mark.parametrize(
+    ("name", "change"),
+    [
+        ("born_plausible", {"fbref_born": 2015}), ("nineties_match_minutes", {"fbref_nineties": 20.0}), ("starts_le_matches", {"fbref_starts": 31}),
+        ("cards_le_matches", {"fbref_yellow_cards": 31}), ("second_yellow_le_red", {"fbref_second_yellow_cards": 1}), ("non_negative_counts", {"ws_pen_area_entries": -1}),
+        ("percent_columns_in_range", {"gk_penalty_kick_save_pct": 101.0}), ("points_per_match_range", {"fbref_points_per_match": 3.5}), ("shots_on_target_le_shots", {"fbref_shots_on_target": 1}),
+        ("ws_passes_completed_le_passes", {"ws_passes_completed": 1}), ("ws_tackles_won_le_tackles", {"ws_tackles_won": 1}), ("ws_per90_sign_consistent", {"ws_clearances": 1}),
+        ("ws_matches_le_fbref_matches", {"ws_matches_with_data": 33}), ("gk_saves_le_shots_faced", {"gk_saves": 1}), ("gk_clean_sheets_le_matches", {"gk_clean_sheets": 31}),
+        ("gk_penalties_saved_le_faced", {"gk_penalty_kicks_saved": 1}), ("outfielders_with_keeper_stats", {"gk_goals_against": 1}), ("height_range", {"tm_height_cm": 300}), ("duplicate_player_season_team", {"player_id": 1, "team": "t0"}),
+        ("clubs_per_season", {"team": "other"}), ("ws_team_coverage", {}), ("team_season_minutes", {}),
+    ],
+)
+def test_validator_planted(spark, name, change):
+    """Each check is silent on sound rows and reports the one that is broken; limits lie where they should."""
+    rows = _season()
+    if name == "team_season_minutes":
+        for r in rows[:30]:
+            r |= {"fbref_minutes": 900, "fbref_nineties": 10.0}
+    elif name == "ws_team_coverage":
+        for r in rows[:30]:
+            r["ws_matches_with_data"] = 25
+    else:
+        rows[500 if "team" not in change else 5] |= change
+    names = list(rows[0])
+    kind = {"team": "string", "fbref_position": "string"} | dict.fromkeys([*audit.PERCENTS, *[r for _, r in audit.PER90], "fbref_nineties", "fbref_points_per_match", "fbref_non_penalty_goals_per90"], "double")
+    df = spark.createDataFrame([tuple(r[c] for c in names) for r in rows], ", ".join(f"{c} {kind.get(c, 'long')}" for c in names))
+    checks = {c.name: c for c in audit.catalogue(percentiles.CLUSTERING)}
+    sound = spark.createDataFrame([tuple(r[c] for c in names) for r in _season()], df.schema)
+    assert audit.run_checks([checks[name]], {"master": sound})[0]["status"] == "PASS"
+    got = audit.run_checks([checks[name]], {"master": df})[0]
+    assert got["status"] in ("FAIL", "WARN", "KNOWN") and got["violations"] >= 1 and got["sample"], got
+    assert audit.run_checks([checks["ws_team_names_match_fbref"]], {"ws_source": df})[0]["status"] == "SKIPPED"
+
+
+def test_row_checks_share_one_aggregation(spark):
+    df = spark.createDataFrame([(1, -1), (2, 5)], "a long, b long")
+    some = [audit.where("x", "error", "b < 0", table="t"), audit.where("y", "warn", "a > 5", table="t"), audit.where("z", "error", "c < 0", table="t")]
+    assert [(r["status"], r["violations"]) for r in audit.run_checks(some, {"t": df})] == [("FAIL", 1), ("PASS", 0), ("ERROR", None)]
