@@ -173,7 +173,7 @@ def score_texts(docs: DataFrame, words: list[str], stems: list[str], keep: list[
 
 def fit(rows: DataFrame, words: list[str], stems: list[str]) -> tuple[float, float]:
     """Slope and offset of the probability over log(1 + weight), by the sample."""
-    got = score_texts(rows, words, stems, ["y"]).select("y", "weight").orderBy("y", "weight").collect()
+    got = sorted(score_texts(rows, words, stems, ["y"]).select("y", "weight").collect())
     if len({r.y for r in got}) < 2:
         return 8.0, -2.0
     a, b = fit_logistic(np.log1p([[r.weight] for r in got]), np.array([r.y for r in got], float))
