@@ -2,6 +2,13 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
 The texts of a stage's input are those that its predecessor kept or rewrote.
+
+Defined cases, by stage: null, empty and wordless texts fail the quality rules, which judge rows with a null lang or source as
+groups of their own; repeated rows are judged each, and one of them stays after the n-gram join, as of any group (the smallest
+doc_id's; rows without an id count last); a null doc_id never drops a row by itself; texts of any length are read whole; personal data in a
+null text is none; mixing takes a document 0 to 3 times, so rows may repeat again, and drops those that it takes 0 times; the
+tokens of an empty text are none. An empty table stays empty at every stage. Columns beyond those of documents pass through all
+stages but the last, whatever their names.
 """
 
 from __future__ import annotations
