@@ -11,7 +11,7 @@ from touchline.functions import core as C
 from touchline.functions import fuzzy as Z
 from touchline.operators import audit, events, identity, schedule, spend, tables
 from touchline.plans import archetypes, percentiles, signals
-from touchline.queries import modeling
+from touchline.queries import modeling, sources
 from touchline.sources import html_tables
 
 EVENT = "game_id long, minute int, second int, team_id long, team string, player_id long, player string, x double, y double, end_x double, end_y double, type string, outcome_type string, is_touch boolean, qualifiers array<struct<type:struct<displayName:string>,value:string>>"
@@ -178,6 +178,15 @@ def test_transfer_pages(spark):
     assert html_tables.require_resolved(rows.where("k = 1"), ["k"]).count() == 1
 
 
+def test_evidence_as_in_its_sql(spark, tmp_path):
+    """References that the SQL decodes, and how; two titles; white space; what the pattern leaves out."""
+    titles = {'a &quot;b&quot; "c"': 'a \\"b\\" "c"', "x &amp;quot; y": 'x \\" y', "x &amp;amp;quot; y": "x &amp;quot; y", "a &lt; b &copy; &amp; c": "a &lt; b &copy; & c", "\u00a0 a\u2003b\t\n c ": "a\u2003b c", "q &amp\n": "q &amp", "q &amp": ..., "": None}
+    rows = [(i, f"<title>{s}</title><p class='&quot;'>&quot;</p><svg><title>two</title></svg>") for i, s in enumerate(titles)]
+    spark.createDataFrame([*rows, (99, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.title for r in sources.evidence(spark, str(tmp_path)).collect()}
+    assert got == {i: v for i, v in enumerate(titles.values()) if v is not ...}
+
+
 def test_islands_and_differences(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (1, 3, None), (1, 4, "a")], "k int, o int, v string")
     got = tables.islands(df, ["k"], "o", "v").orderBy("first").collect()

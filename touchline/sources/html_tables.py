@@ -12,6 +12,9 @@ from touchline.functions.core import fee, href_id, internal_promotion
 CELL = "struct<text string, hrefs array<string>, link_texts array<string>>"
 TABLES = f"array<struct<pos int, id string, heading string, hidden boolean, rows array<array<{CELL}>>>>"
 
+#: Unicode's space separators.
+_SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
 
 class _Reader(HTMLParser):
     """Tables in page order, each with the last heading above it; comments are parsed too if asked."""
@@ -21,7 +24,7 @@ class _Reader(HTMLParser):
         self.comments, self.hidden = comments, False
         self.tables: list[dict] = []
         self.open: list[dict] = []
-        self.heading, self.in_heading, self.title, self.in_title = "", False, "", False
+        self.heading, self.in_heading, self.title, self.in_title, self.titles = "", False, "", False, 0
         self.h1: list[str] = []
         self.options: list[str] = []
         self.option: str | None = None
@@ -34,7 +37,7 @@ class _Reader(HTMLParser):
             if tag == "h1":
                 self.h1.append("")
         elif tag == "title":
-            self.in_title = True
+            self.in_title, self.titles = self.titles == 0, self.titles + 1
         elif tag == "table":
             t = {"pos": len(self.tables), "id": a.get("id"), "heading": " ".join(self.heading.split()), "hidden": self.hidden, "rows": []}
             self.tables.append(t)
@@ -112,9 +115,11 @@ def tables_of(source: str) -> Column:
 
 
 def evidence_of(source: str) -> Column:
+    """The first title (ASCII white space collapsed, spaces of any kind stripped), all h1, selected options."""
+
     def run(pages: pd.Series) -> pd.DataFrame:
         got = [_read(s, False) for s in pages]
-        return pd.DataFrame({"title": [" ".join(r.title.split()) or None for r in got], "h1": [[" ".join(h.split()) for h in r.h1] for r in got], "selected": [r.options for r in got]})
+        return pd.DataFrame({"title": [re.sub(r"[\t\n\f\r ]+", " ", r.title).strip(_SPACES) or None for r in got], "h1": [[" ".join(h.split()) for h in r.h1] for r in got], "selected": [r.options for r in got]})
 
     return F.pandas_udf(run, "struct<title string, h1 array<string>, selected array<string>>")(source)
 
